@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating star contractions."""
+"""Connected components of an edge table by contraction of least-neighbour forests."""
 
 from __future__ import annotations
 
@@ -11,35 +11,43 @@ from gridloom.llm.common import materialise
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long), root being the component's least node.
 
-    Each round contracts first towards the least neighbour, then towards the least smaller one; the
-    number of rounds follows the logarithm of the longest path.  A round is written to the shared
-    folder, so lost executors repeat one round at most, and no link is collected.  An empty edge
-    table has no nodes; loops and repeated edges change nothing.
+    Each round every node points to its least neighbour; the trees of that forest, which has one edge
+    a node at most however many links there are, are flattened by alternating star contractions, and
+    the links between trees go on to the next round.  Every step is written to the shared folder, so
+    lost executors repeat one step at most, and no link is collected.  An empty edge table has no
+    nodes; loops and repeated edges change nothing.
     """
-    now = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
+    links = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
+    named = links.select("v").union(links.select("u")).distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+    for _ in range(most):
+        if links.isEmpty():
+            return named
+        both = links.select("v", "u").union(links.select("u", "v"))
+        roots = materialise(_flatten(both.groupBy("v").agg(F.min("u").alias("u")).filter("u < v"), most), "roots")
+        named = materialise(named.join(roots.withColumnsRenamed({"v": "rv", "u": "ru"}), F.col("root") == F.col("rv"), "left").select("node", F.coalesce("ru", "root").alias("root")), "named")
+        left = links.join(roots.withColumnsRenamed({"v": "lv", "u": "lu"}), F.col("v") == F.col("lv"), "left").select(F.coalesce("lu", "v").alias("x"), "u")
+        ends = left.join(roots.withColumnsRenamed({"v": "lv", "u": "lu"}), F.col("u") == F.col("lv"), "left").select("x", F.coalesce("lu", "u").alias("y"))
+        links = materialise(ends.filter("x <> y").select(F.greatest("x", "y").alias("v"), F.least("x", "y").alias("u")).distinct(), "links")
+    raise RuntimeError(f"components did not settle in {most} rounds")
+
+
+def _flatten(forest: DataFrame, most: int) -> DataFrame:
+    """(v, u): every node that is not least in its tree of ``forest``, and the tree's least node."""
+    now = materialise(forest, "forest")
     last = None
     for _ in range(most):
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
         if mark == last or mark[0] == 0:
-            break
+            return now
         last = mark
         now = materialise(_star(_star(now, larger=True), larger=False), "star")
-    else:
-        raise RuntimeError(f"components did not settle in {most} rounds")
-    return now.select(F.col("v").alias("node"), F.col("u").alias("root")).union(now.select("u", "u").distinct())
+    raise RuntimeError(f"a tree did not settle in {most} rounds")
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
     """Links each node's (larger, or smaller) neighbours to the least of them and itself."""
     both = edges.select("v", "u") if not larger else edges.select("v", "u").union(edges.select("u", "v"))
     least = both.groupBy(F.col("v").alias("c")).agg(F.min("u").alias("m")).withColumn("m", F.least("c", "m"))
-    linked = both.join(least, both.v == least.c)
-    if larger:
-        # v is the centre: its larger neighbours go to the least of all
-        out = linked.filter("u > c").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        # the centre itself keeps its link, else smaller-only centres would be lost
-        own = least.filter("m < c").select(F.col("c").alias("v"), F.col("m").alias("u"))
-        return out.union(own).distinct()
-    out = linked.filter("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-    own = least.filter("m < c").select(F.col("c").alias("v"), F.col("m").alias("u"))
-    return out.union(own).distinct()
+    linked = both.join(least, both.v == least.c).filter("u > c" if larger else "u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
+    # the centre keeps its own link to the least
+    return linked.union(least.filter("m < c").select(F.col("c").alias("v"), F.col("m").alias("u"))).distinct()
