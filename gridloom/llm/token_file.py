@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import scratch_path
-from gridloom.llm.tokens import STEP, WordIds
+from gridloom.llm.tokens import STEP, word_ids
 
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES = 1 << 18
@@ -146,7 +146,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         path = f"{folder}/part-{part:06d}.tok"
-        writer, ids = None, WordIds(tokenizer)
+        writer, ids = None, word_ids(tokenizer)
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1)
             for k in range(0, len(names), STEP):

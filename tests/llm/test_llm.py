@@ -490,3 +490,11 @@ def test_pipeline_runs_and_returns_tokens(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "simhash_near_dedup", "benchmark_decontamination", "source_mixing", "token_output"]
     out = corpus_pipeline.run(spark, SF).collect()
     assert out and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+
+
+def test_words_cut_here_get_the_librarys_ids():
+    ids = WordIds(WORD_BPE)
+    assert ids.direct
+    pieces = ["", "don't", "I'LL'd", "a--b12,5%", "ÉTÉ", "aß-Öø;x_y", "x×y÷", "<|endoftext|>a", "<|ENDOFTEXT|>", "ǅ", "İ", "ﬁ", "e\u0301", "日本語", "a\x0bb", "\x1c", "ª²", "z" * 500]
+    assert ids.encode(pieces) == ids.library(pieces)
+    assert ids.texts([" ".join(pieces)]) == ids.library([" ".join(pieces)])
