@@ -4,7 +4,8 @@ Two texts are near copies if the sets of their five-word shingles have a Jaccard
 more.  At 0.8 two SimHashes of 128 bits differ in about 19, too many for plain pigeonhole blocks, so
 the blocks are drawn from the bits at random, as many as make close pairs share one: a block has
 log2(documents) bits, and their number follows from the wanted recall.  Pairs that share a block are
-verified by Hamming distance, then by their shingles.
+verified by Hamming distance, then by their shingles, in rounds: each text tries its nearest partners
+outside its own component, components merge, and the next round goes on with what is left.
 """
 
 from __future__ import annotations
@@ -26,9 +27,11 @@ from gridloom.llm.graph import components
 from gridloom.llm.simhash import words_of
 
 SHINGLE, SIMILARITY, BITS, SEED = 5, 0.8, 128, 42
-RADIUS, COVER = 30, 8
-"""Distance up to which a pair is verified (99 % of pairs at 0.8); distance below which one text stands for another."""
+RADIUS = 30
+"""Distance up to which a pair is verified (99 % of pairs at 0.8)."""
 RECALL, LONG_RUN, ROWS = 0.95, 48, 1 << 15
+FIRST, MOST, CELLS = 4, 4096, 1 << 20
+"""Partners a row verifies in the first round (four times as many in each later one, up to MOST); pairs compared at once."""
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -97,78 +100,123 @@ def distance(xa: np.ndarray, xb: np.ndarray) -> np.ndarray:
     return np.bitwise_count(xa).astype(np.int64) + np.bitwise_count(xb)
 
 
-def run_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (i, j) within one bucket that are to be verified.
+def same_key(key: np.ndarray, steps: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Positions i, for each step below ``steps``, whose key also stands at i + step (keys are sorted)."""
+    for step in range(1, min(steps, len(key))):
+        i = np.flatnonzero(key[:-step] == key[step:])
+        if not len(i):
+            return
+        yield i, step
+
+
+def window_pairs(c: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) within RADIUS among rows less than LONG_RUN places apart in a bucket."""
+    out = [(np.zeros(0, dtype=np.int64),) * 3]
+    for i, step in same_key(c["key"], LONG_RUN):
+        d = distance(c["a"][i] ^ c["a"][i + step], c["b"][i] ^ c["b"][i + step])
+        near = d <= RADIUS
+        out.append((i[near], i[near] + step, d[near]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def live(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs, those still to be verified: within RADIUS, in two components, untried, possibly similar.
 
-    Each row is compared with the leaders before it.  A row within COVER bits of a leader is led by it
-    and leads none itself, so a tight group of any size makes one pair a row, not all pairs.
+    ``cap`` bounds a text's overlap with any other, so a pair whose caps stay below SIMILARITY is none.
+    A pair belongs to the first block that it shares.
     """
-    rest = np.arange(len(a))
-    left, right = [], []
-    while len(rest) > 1:
-        head, rest = rest[0], rest[1:]
-        d = distance(a[rest] ^ a[head], b[rest] ^ b[head])
-        close = rest[d <= RADIUS]
-        left.append(np.full(len(close), head))
-        right.append(close)
-        rest = rest[d > COVER]
-    return (np.concatenate(left), np.concatenate(right)) if left else (rest[:0], rest[:0])
-
-
-def bucket_pairs(keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs to verify among rows sorted by key."""
-    edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
-    lengths = np.repeat(np.diff(edges), np.diff(edges))
-    left, right = [], []
-    short = lengths <= LONG_RUN
-    for step in range(1, LONG_RUN):
-        i = np.flatnonzero(short[:-step] & (keys[:-step] == keys[step:])) if step < len(keys) else np.zeros(0, dtype=np.int64)
-        if not len(i):
-            break
-        close = i[distance(a[i] ^ a[i + step], b[i] ^ b[i + step]) <= RADIUS]
-        left.append(close)
-        right.append(close + step)
-    for k in np.flatnonzero(np.diff(edges) > LONG_RUN):
-        i, j = run_pairs(a[edges[k] : edges[k + 1]], b[edges[k] : edges[k + 1]])
-        left.append(i + edges[k])
-        right.append(j + edges[k])
-    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, dtype=np.int64),) * 2
+
+    def choose(keep: np.ndarray) -> None:
+        nonlocal i, j, d
+        i, j, d = i[keep], j[keep], d[keep]
+
+    d = distance(c["a"][i] ^ c["a"][j], c["b"][i] ^ c["b"][j])
+    choose((d <= RADIUS) & (c["label"][i] != c["label"][j]))
+    most = np.minimum(c["cap"][i], c["cap"][j])
+    choose(most >= SIMILARITY * (c["size"][i] + c["size"][j] - most))
+    tried = lambda p, q: (d < c["td"][p]) | ((d == c["td"][p]) & (c["row"][q] <= c["ty"][p]))
+    choose(~(tried(i, j) | tried(j, i)))
+    first, xa, xb = np.full(len(i), len(masks)), c["a"][i] ^ c["a"][j], c["b"][i] ^ c["b"][j]
+    for t in range(len(masks) - 1, -1, -1):
+        first[((xa & masks[t, 0]) | (xb & masks[t, 1])) == 0] = t
+    choose(first == c["n"][i])
+    return i, j, d
 
 
-def candidates(prints: DataFrame, masks: np.ndarray) -> DataFrame:
-    """(x, y) of prints (row, a, b) that share a block and are within RADIUS, each pair about once."""
-    spark = prints.sparkSession
+def live_pairs(c: dict[str, np.ndarray], masks: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(from, to, distance): the ``most`` nearest live partners, within a bucket, of every row.
+
+    In a long bucket only the rows outside its largest component are compared with all the others, so a
+    group that is linked already costs nothing however large it is.
+    """
+    edges = np.flatnonzero(np.concatenate([[True], c["key"][1:] != c["key"][:-1], [True]]))
+    long = np.repeat(np.diff(edges) > LONG_RUN, np.diff(edges))
+    out = [nearest(c, *live(c, i[~long[i]], i[~long[i]] + step, masks), most) for i, step in same_key(c["key"], LONG_RUN)]
+    for k in np.flatnonzero(np.diff(edges) > LONG_RUN):
+        here = np.arange(edges[k], edges[k + 1])
+        names, which, counts = np.unique(c["label"][here], return_inverse=True, return_counts=True)
+        outside = which != np.argmax(counts)
+        few, step = here[outside], max(1, CELLS // len(here))
+        for f in range(0, len(few), step):
+            i, j = (x.ravel() for x in np.meshgrid(few[f : f + step], here, indexing="ij"))
+            once = (i < j) | ~outside[j - edges[k]]
+            out.append(nearest(c, *live(c, i[once], j[once], masks), most))
+    out.append((np.zeros(0, dtype=np.int64),) * 3)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def nearest(c: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray, d: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both directions of the pairs; of each row the ``most`` nearest, ties to the lesser partner."""
+    i, j, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
+    order = np.lexsort((c["row"][j], d, c["row"][i]))
+    i, j, d = i[order], j[order], d[order]
+    x, y = c["row"][i], c["row"][j]
+    fresh = np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])])[: len(i)]
+    i, j, d, x = i[fresh], j[fresh], d[fresh], x[fresh]
+    starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])[: len(x)])
+    rank = np.arange(len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
+    return i[rank < most], j[rank < most], d[rank < most]
+
+
+def meetings(rows: DataFrame, masks: np.ndarray, most: int) -> DataFrame:
+    """(x, y, d, lx, ly): nearest partners, and labels, of rows that meet in blocks.
+
+    Without labels (row, a, b) this is the first round: windows within buckets, and each row of a long
+    bucket also meets itself, so that every row with a partner within RADIUS is named.  With labels, sizes, caps and
+    thresholds it gives each row's ``most`` nearest live partners.  Each bucket gives a row's nearest,
+    so the union over buckets holds the nearest of all.
+    """
+    spark = rows.sparkSession
     held = spark.sparkContext.broadcast(masks)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = rows.columns
+    columns = ["key", *names, "n"]
+    labelled = "label" in names
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = held.value
+        tables = np.arange(len(masks), dtype=np.int64)
         for batch in batches:
             for k in range(0, batch.num_rows, 2048):
-                row, a, b = (np.asarray(c).astype(np.int64) for c in batch.slice(k, 2048).columns)
-                keys = block_key(a.view(np.uint64), b.view(np.uint64), masks).view(np.int64)
-                n = len(masks)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(row, n)), pa.array(np.repeat(a, n)), pa.array(np.repeat(b, n)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(row)))], ["key", "row", "a", "b", "n"])
+                c = {m: np.asarray(x).astype(np.int64) for m, x in zip(names, batch.slice(k, 2048).columns, strict=True)}
+                keys = block_key(c["a"].view(np.uint64), c["b"].view(np.uint64), masks).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *[pa.array(np.repeat(x, len(masks))) for x in c.values()], pa.array(np.tile(tables, len(keys)))], columns)
+
+    def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
+        c = dict(zip(columns, cols, strict=True))
+        c["a"], c["b"] = c["a"].view(np.uint64), c["b"].view(np.uint64)
+        if labelled:
+            i, j, d = live_pairs(c, held.value, most)
+        else:
+            i, j, d = nearest(c, *window_pairs(c), most)
+            run = np.searchsorted(c["key"], c["key"], "right") - np.searchsorted(c["key"], c["key"], "left")
+            alone = np.flatnonzero(run > LONG_RUN)
+            alone = alone[np.unique(c["row"][alone], return_index=True)[1]]
+            i, j, d = np.concatenate([i, alone]), np.concatenate([j, alone]), np.concatenate([d, np.zeros(len(alone), dtype=np.int64)])
+        label = c["label" if labelled else "row"]
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (c["row"][i], c["row"][j], d, label[i], label[j])], ["x", "y", "d", "lx", "ly"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = held.value
         kept: list[np.ndarray] | None = None
-
-        def pairs(cols: list[np.ndarray]) -> pa.RecordBatch:
-            key, row, a, b, table = cols
-            ua, ub = a.view(np.uint64), b.view(np.uint64)
-            i, j = bucket_pairs(key, ua, ub)
-            # a pair that shares an earlier block was found there; long runs may have left it out, so only short ones skip
-            if len(i):
-                xa, xb = ua[i] ^ ua[j], ub[i] ^ ub[j]
-                first = np.full(len(i), len(masks))
-                for t in range(len(masks) - 1, -1, -1):
-                    first[((xa & masks[t, 0]) | (xb & masks[t, 1])) == 0] = t
-                run = np.searchsorted(key, key[i], "right") - np.searchsorted(key, key[i], "left")
-                keep = (first == table[i]) | (run > LONG_RUN)
-                i, j = i[keep], j[keep]
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(row[i], row[j])), pa.array(np.maximum(row[i], row[j]))], ["x", "y"])
-
         for batch in batches:
             cols = [np.asarray(c) for c in batch.columns]
             if kept is not None:
@@ -181,26 +229,67 @@ def candidates(prints: DataFrame, masks: np.ndarray) -> DataFrame:
         if kept is not None and len(kept[0]):
             yield pairs(kept)
 
-    dealt = prints.select("row", "a", "b").mapInArrow(deal, "key long, row long, a long, b long, n int")
-    return dealt.repartition(parts, "key").sortWithinPartitions("key", "row").mapInArrow(meet, "x long, y long").filter("x <> y").distinct()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.mapInArrow(deal, ", ".join(f"{m} long" for m in columns))
+    return dealt.repartition(parts, "key").sortWithinPartitions("key", "row").mapInArrow(meet, "x long, y long, d long, lx long, ly long")
+
+
+def partners(met: DataFrame, most: int) -> DataFrame:
+    """(x, ps): the ``most`` nearest partners (d, y, lx, ly) of each row, over all buckets."""
+    return met.filter("x <> y").groupBy("x").agg(F.slice(F.sort_array(F.collect_set(F.struct("d", "y", "lx", "ly"))), 1, most).alias("ps"))
+
+
+def similar(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): labels of the partners whose shingle sets reach SIMILARITY."""
+    each = found.select("x", F.explode("ps").alias("p")).select("x", "p.y", "p.lx", "p.ly")
+    swap = F.col("x") > F.col("y")
+    pairs = each.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.when(swap, F.col("ly")).otherwise(F.col("lx")).alias("lx"), F.when(swap, F.col("lx")).otherwise(F.col("ly")).alias("ly")).distinct()
+    both = pairs.join(sets.select(F.col("row").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("row").alias("y"), F.col("s").alias("sy")), "y")
+    return both.withColumn("i", F.size(F.array_intersect("sx", "sy"))).filter(F.col("i") >= SIMILARITY * (F.size("sx") + F.size("sy") - F.col("i"))).select(F.col("lx").alias("a"), F.col("ly").alias("b")).distinct()
+
+
+def labels(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(row, label) of the texts (digest, row, doc_id, a, b) that may have near copies; equal labels: one group.
+
+    Rounds: every row verifies its nearest few untried partners outside its own component, then the
+    components are merged, until no pair is left.  A row's partners are tried in order of (distance,
+    row), so its last one, a threshold, tells which are done.  All pairs that share a block within
+    RADIUS are thus verified, or lie in one component, or cannot be similar: no link is lost, and a
+    dense group makes few pairs a row instead of all.
+    """
+    masks = block_masks(texts.count())
+    met = materialise(meetings(texts.select("row", "a", "b"), masks, FIRST), "met")
+    involved = met.select(F.col("x").alias("row")).distinct().join(texts.select("row", "digest", "doc_id"), "row")
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", text_digest(F.col("text")))
+    found = plain.join(involved.hint("shuffle_hash"), (plain.digest == involved.digest) & plain.doc_id.eqNullSafe(involved.doc_id), "left_semi")
+    sets = materialise(found.select(F.xxhash64("digest").alias("row"), shingle_longs("text").alias("s")).dropDuplicates(["row"]), "sets")
+    # a shingle that no other involved text holds is in no overlap
+    once = sets.select("row", F.explode("s").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.min("row").alias("row")).filter("n = 1").groupBy("row").agg(F.count("*").alias("own"))
+    sized = sets.select("row", F.size("s").cast("long").alias("size")).join(once, "row", "left").select("row", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("cap"))
+    state = materialise(texts.select("row", "a", "b").join(sized, "row").select("row", "a", "b", "size", "cap", F.col("row").alias("label"), F.lit(-1).cast("long").alias("td"), F.lit(0).cast("long").alias("ty")), "state")
+    tried, most = materialise(partners(met, FIRST), "partners"), FIRST
+    first = True
+    while not tried.isEmpty():
+        roots = components(similar(tried, sets))
+        state = state.join(roots, state.label == roots.node, "left").withColumn("label", F.coalesce("root", "label")).drop("node", "root")
+        if not first:
+            last = F.element_at("ps", -1)
+            done = F.size("ps") < most
+            ends = tried.select("x", F.when(done, F.lit(BITS + 1)).otherwise(last["d"]).cast("long").alias("nd"), last["y"].alias("ny"))
+            state = state.join(ends, state.row == ends.x, "left").withColumns({"td": F.coalesce("nd", "td"), "ty": F.coalesce("ny", "ty")}).drop("x", "nd", "ny")
+        state = materialise(state, "state")
+        first, most = False, min(4 * most, MOST)
+        tried = materialise(partners(meetings(state, masks, most), most), "partners")
+    return state.select("row", "label")
 
 
 def near_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(row, doc_id, digest of the kept document) per kept text, and the keyed rows of ``docs``."""
+    """(doc_id, digest) of the kept documents, and the keyed rows of ``docs``."""
     row = F.xxhash64("digest")
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", text_digest(F.col("text")))
     keyed = materialise(keyed.select("doc_id", "digest", row.alias("row"), wide_prints("text").alias("p")).select("doc_id", "digest", "row", "p.a", "p.b"), "wide")
     texts = materialise(keyed.groupBy("digest", "row").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("a", "b")).alias("p")).select("digest", "row", "doc_id", "p.a", "p.b"), "texts")
-    pairs = materialise(candidates(texts, block_masks(texts.count())), "pairs")
-    involved = pairs.select(F.explode(F.array("x", "y")).alias("row")).distinct().join(texts.select("row", "digest", "doc_id"), "row")
-    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("digest", text_digest(F.col("text")))
-    found = plain.join(involved.hint("shuffle_hash"), (plain.digest == involved.digest) & plain.doc_id.eqNullSafe(involved.doc_id), "left_semi")
-    sets = materialise(found.select(F.xxhash64("digest").alias("row"), shingle_longs("text").alias("s")).dropDuplicates(["row"]), "sets")
-    both = pairs.join(sets.select(F.col("row").alias("x"), F.col("s").alias("sx")), "x").join(sets.select(F.col("row").alias("y"), F.col("s").alias("sy")), "y")
-    shared = F.size(F.array_intersect("sx", "sy"))
-    links = both.withColumn("i", shared).filter(F.col("i") >= SIMILARITY * (F.size("sx") + F.size("sy") - F.col("i"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    roots = components(links)
-    grouped = texts.join(roots, texts.row == roots.node, "left").select("digest", "doc_id", F.coalesce("root", "row").alias("root"))
+    grouped = texts.join(labels(docs, texts), "row", "left").select("digest", "doc_id", F.coalesce("label", "row").alias("root"))
     kept = grouped.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("k")).select("k.doc_id", "k.digest")
     return kept, keyed
 

@@ -171,6 +171,42 @@ def test_dedupe_long_run_of_near_copies(spark):
     assert rows(near_dedup.dedupe(spark.createDataFrame(data, "doc_id long, text string")), "doc_id") == [(0,)]
 
 
+def test_dedupe_rounds_lose_no_link_of_a_dense_group(spark):
+    rnd = random.Random(6)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    texts = []
+    for k in range(260):
+        mine = list(base)
+        for at in rnd.sample(range(200), rnd.randrange(1, 9)):
+            mine[at] = f"edit{k}x{at}"
+        texts.append(" ".join(mine))
+    sets = [set(map(tuple, near_dedup.shingle_set(t).tolist())) for t in texts]
+    prints = [near_dedup.wide_print(t) for t in texts]
+    masks = near_dedup.block_masks(len(texts))
+    a, b = (np.array([p[k] for p in prints]).view(np.uint64) for k in (0, 1))
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = 0
+    for x in range(len(texts)):
+        for y in range(x + 1, len(texts)):
+            xa, xb = a[x] ^ a[y], b[x] ^ b[y]
+            meet = int(xa).bit_count() + int(xb).bit_count() <= near_dedup.RADIUS and (((xa & masks[:, 0]) | (xb & masks[:, 1])) == 0).any()
+            both = len(sets[x] & sets[y])
+            if meet and both >= 0.8 * (len(sets[x]) + len(sets[y]) - both):
+                links += 1
+                p, q = find(x), find(y)
+                root[max(p, q)] = min(p, q)
+    want = {find(x) for x in range(len(texts))}
+    kept = near_dedup.dedupe(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert links > 2000 and 1 < len(want) < 200
+    assert {r.doc_id for r in kept.collect()} == want
+
+
 def test_dedupe_awkward(awkward, empty):
     out = near_dedup.dedupe(awkward)
     assert out.columns == awkward.columns
