@@ -2,8 +2,9 @@
 
 Two texts are near copies if the sets of their five-word shingles have a Jaccard similarity of 0.8 or
 more.  At 0.8 two SimHashes of 128 bits differ in about 19, too many for plain pigeonhole blocks, so
-the blocks are drawn from the bits at random, as many as make close pairs share one: a block has
-log2(documents) bits, and their number follows from the wanted recall.  Pairs that share a block are
+the blocks are drawn from the bits at random, as many as make close pairs share one: their width grows
+with log2(documents), and their number follows from the wanted recall of pairs, averaged over the
+distances that pairs at 0.8 have, so the loss is bounded alike at every size.  Pairs that share a block are
 verified by Hamming distance, then by their shingles, in rounds: each text tries its nearest partners
 outside its own component, components merge, and the next round goes on with what is left.
 """
@@ -72,12 +73,26 @@ def shingle_longs(texts: pd.Series) -> pd.Series:
     return pd.Series([shingle_set(t)[:, 0].view(np.int64) for t in texts])
 
 
+def pair_recall(bits: int, tables: int) -> float:
+    """Chance that a pair at SIMILARITY lies within RADIUS and shares one of so many blocks."""
+    differ = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
+    found = 0.0
+    for d in range(RADIUS + 1):
+        at = math.comb(BITS, d) * differ**d * (1 - differ) ** (BITS - d)
+        found += at * (1 - (1 - math.comb(BITS - d, bits) / math.comb(BITS, bits)) ** tables)
+    return found
+
+
 def block_masks(documents: int, recall: float = RECALL, seed: int = 11) -> np.ndarray:
-    """Masks (tables, 2) of the blocks for a corpus of this size."""
-    cosine = 2 * SIMILARITY / (1 + SIMILARITY)
-    agree = 1 - math.acos(cosine) / math.pi
-    bits = min(40, max(12, math.ceil(math.log2(max(2, documents)))))
-    tables = math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
+    """Masks (tables, 2) of the blocks for a corpus of this size.
+
+    Blocks two bits short of log2(documents) hold about four rows by chance, and reach the recall with
+    fewer tables than wider ones.
+    """
+    bits = min(40, max(12, math.ceil(math.log2(max(2, documents))) - 2))
+    tables = 1
+    while pair_recall(bits, tables) < recall:
+        tables += 1
     rng = np.random.default_rng(seed)
     chosen = np.zeros((tables, BITS), dtype=np.uint8)
     for row in chosen:

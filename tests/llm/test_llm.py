@@ -207,6 +207,16 @@ def test_dedupe_rounds_lose_no_link_of_a_dense_group(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+@pytest.mark.parametrize("documents", [10_000, 50_000, 500_000, 3_000_000])
+def test_blocks_reach_their_recall_at_every_size(documents):
+    masks = near_dedup.block_masks(documents)
+    differ = np.arccos(2 * 0.8 / 1.8) / np.pi
+    flips = np.random.default_rng(1).random((4000, near_dedup.BITS)) < differ
+    x = np.packbits(flips, axis=1).view(np.uint64)
+    meet = (((x[:, None, 0] & masks[:, 0]) | (x[:, None, 1] & masks[:, 1])) == 0).any(axis=1)
+    assert (meet & (flips.sum(axis=1) <= near_dedup.RADIUS)).mean() >= 0.94
+
+
 def test_dedupe_awkward(awkward, empty):
     out = near_dedup.dedupe(awkward)
     assert out.columns == awkward.columns
