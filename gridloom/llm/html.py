@@ -1,10 +1,11 @@
 """HTML extraction by site template removal.
 
-A page is parsed once into blocks of text and the subtrees around them.  Subtrees outside the article
+A page is parsed once into blocks of text and the subtrees around them.  Subtrees, inside articles too,
 are hashed and counted per host in Spark; those that recur across many pages of their host are the
-site's template and are deleted.  Elements whose name, role or class says menu, header, footer,
-sidebar, notice, advert, form or comment go as well; where a page marks its article, only that is kept,
-so that passages repeated by articles are never taken for a template.
+site's template and are deleted.  Pages with the same main text count once, so copies of an article
+are not taken for a template.  Elements whose name, and containers whose role or class, says menu,
+header, footer, sidebar, notice, advert, form or comment go as well; where a page marks its article,
+only that is kept.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ RAW = "script|style|noscript|template|textarea|title|iframe|svg|noframes|select"
 DROPPED = frozenset("nav header footer aside form button fieldset dialog menu head figcaption object audio video canvas".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
+CONTAINERS = frozenset("div section ul ol dl table".split())
 SCOPES = frozenset("article main section body html td th table div aside nav footer header form".split())
 
 TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|</([a-z][^\s>/]*)[^>]*(?:>|\Z)|<([a-z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S | re.I)
@@ -47,13 +49,13 @@ class Element:
     blocks: list[int] = field(default_factory=list)
 
 
-def signed(attributes: str) -> bool:
-    """Whether a class, id or role names a page part other than the main text."""
+def signed(name: str, attributes: str) -> bool:
+    """Whether an element is hidden, or is a container whose class, id or role names a page part other than the main text."""
     if not attributes:
         return False
     if HIDDEN.search(attributes):
         return True
-    return any(SIGN.match(word) for m in NAMED.finditer(attributes) for word in re.split(r"[\s_-]+", m[1] or m[2] or m[3] or ""))
+    return name in CONTAINERS and any(SIGN.match(word) for m in NAMED.finditer(attributes) for word in re.split(r"[\s_-]+", m[1] or m[2] or m[3] or ""))
 
 
 def clean(pieces: list[str]) -> str:
@@ -63,7 +65,7 @@ def clean(pieces: list[str]) -> str:
 def parse(source: str | None) -> tuple[list[tuple[str, bool, list[int]]], list[int]]:
     """Blocks (text, inside an article, hashes of the subtrees around it) and all subtree hashes.
 
-    Only blocks that no dropped element holds are returned; hashes cover elements outside articles.
+    Only blocks that no dropped element holds are returned.
     Markup that is not closed ends with the page; text without any element is one block.
     """
     source = source or ""
@@ -78,8 +80,7 @@ def parse(source: str | None) -> tuple[list[tuple[str, bool, list[int]]], list[i
             if text := clean(pieces):
                 top = stack[-1]
                 for e in stack:
-                    if not e.article:
-                        e.text.append(text)
+                    e.text.append(text)
                 if not top.drop:
                     blocks.append((text, top.article))
                     around.append([])
@@ -89,7 +90,7 @@ def parse(source: str | None) -> tuple[list[tuple[str, bool, list[int]]], list[i
 
     def pop() -> None:
         e = stack.pop()
-        if not e.article and e.name in BLOCK and e.text and e.name not in ("html", "body"):
+        if e.name in BLOCK and e.text and e.name not in ("html", "body"):
             h = xxhash.xxh64_intdigest("\x00".join([e.name, *e.text]).encode("utf-8", "surrogatepass"), 1) >> 1
             hashes.append(h)
             for k in e.blocks:
@@ -118,7 +119,7 @@ def parse(source: str | None) -> tuple[list[tuple[str, bool, list[int]]], list[i
                 continue
             top = stack[-1]
             article = top.article or name in ("article", "main")
-            stack.append(Element(name, top.drop or name in DROPPED and not (name == "header" and top.article) or name not in ("html", "body", "article", "main") and signed(m[4]), article))
+            stack.append(Element(name, top.drop or name in DROPPED and not (name == "header" and top.article) or name not in ("html", "body", "article", "main") and signed(name, m[4]), article))
         elif m[2]:
             name = m[2].lower()
             if name in BLOCK or name in DROPPED:
@@ -154,11 +155,11 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for source in batch["html"]:
-            blocks, hashes = parse(source)
-            article = [b for b in blocks if b[1]]
-            text = "\n\n".join(b[0] for b in article) if article else None
-            rows.append((text, hashes, [] if article else [{"text": b[0], "around": b[2]} for b in blocks]))
-        out = pd.DataFrame(rows, columns=["text", "hashes", "loose"])
+            blocks, _ = parse(source)
+            blocks = [b for b in blocks if b[1]] or blocks
+            main = xxhash.xxh64_intdigest("\x00".join(b[0] for b in blocks).encode("utf-8", "surrogatepass"), 2) >> 1
+            rows.append((main, [{"text": b[0], "around": b[2]} for b in blocks]))
+        out = pd.DataFrame(rows, columns=["main", "blocks"])
         yield pd.concat([batch[["page_id", "url"]].reset_index(drop=True), out], axis=1)
 
 
@@ -166,19 +167,18 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     """page_id, url, text, n_chars of every page row.
 
     Null and empty pages, and pages of template only, have an empty text.  Repeated rows are
-    extracted each, and count as pages of their host each; null ids and urls stay.  An empty table
-    gives no rows.  Only page_id, url and html are read, so further columns cannot clash.
+    extracted each, but pages of one host with the same main text count once; null ids and urls stay.
+    An empty table gives no rows.  Only page_id, url and html are read, so further columns cannot clash.
     """
-    schema = "page_id long, url string, text string, hashes array<long>, loose array<struct<text:string,around:array<long>>>"
+    schema = "page_id long, url string, main long, blocks array<struct<text:string,around:array<long>>>"
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(_parsed, schema)
     parsed = materialise(read.withColumn("host", host_of(F.col("url"))).withColumn("row", F.monotonically_increasing_id()), "pages")
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    # the template is only needed by pages that mark no article; their subtrees meet the counts as rows
-    loose = parsed.filter("text is null").select("row", "host", F.posexplode("loose").alias("at", "block")).select("row", "host", "at", "block.text", "block.around")
-    template = counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash")
-    hit = loose.select("row", "host", "at", F.explode("around").alias("hash")).join(template, ["host", "hash"], "left_semi").select("row", "at").distinct()
-    kept = loose.join(hit, ["row", "at"], "left_anti").groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda b: b["text"]), "\n\n").alias("rest"))
-    done = parsed.filter("text is not null").select("page_id", "url", "text")
-    rest = parsed.filter("text is null").select("row", "page_id", "url").join(kept, "row", "left").select("page_id", "url", F.coalesce("rest", F.lit("")).alias("text"))
-    return done.union(rest).withColumn("n_chars", F.length("text").cast("long"))
+    sizes = parsed.groupBy("host").agg(F.count_distinct("main").alias("pages"))
+    subtrees = parsed.select("row", "host", "main", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("hash"))
+    counts = subtrees.select("host", "hash", "main").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    template = materialise(counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
+    # written first, so that a small table is broadcast and the texts are not shuffled
+    hit = materialise(subtrees.join(template, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("bad")), "hit")
+    own = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("bad", F.array().cast("array<long>"))))
+    done = parsed.join(hit, "row", "left").select("page_id", "url", F.array_join(F.transform(own, lambda b: b["text"]), "\n\n").alias("text"))
+    return done.withColumn("n_chars", F.length("text").cast("long"))

@@ -503,6 +503,14 @@ def test_template_is_deleted_where_no_article_is_marked(spark):
     assert {r.text for r in got} == {f"Own words {k}" for k in range(40)}
 
 
+def test_template_is_deleted_inside_articles(spark):
+    page = "<article><h2 id='related-{0}'>Related work {0}</h2><p>Own words {0}</p><div class='x'><p>Licence</p><p>of the site</p></div></article>"
+    pages = [(k, f"http://h.example/{k}", page.format(k)) for k in range(30)]
+    copies = [(100 + k, f"http://copies.example/{k}", f"<nav>{k}</nav><article><p>One text</p></article>") for k in range(30)]
+    got = html.extract(spark.createDataFrame(pages + copies, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: f"Related work {k}\n\nOwn words {k}" for k in range(30)} | {100 + k: "One text" for k in range(30)}
+
+
 # nearest neighbours
 
 
