@@ -36,8 +36,8 @@ NAMED = re.compile(r"""(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:"([^"]*)"|'([
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 SIGN = re.compile(r"^(?:ads?|adverts?|advertis\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|header|masthead|footer|comments?|commentlist|replies|reply|respond|disqus|form|newsletter|subscri\w*|popup|modal|share|sharing|social|related|widgets?|toolbar|pagination|pager|search|login|complementary|contentinfo|skip)$", re.I)
 SPACE = re.compile(r"\s+")
-MIN_PAGES, MIN_SHARE = 5, 0.05
-"""A subtree is template if it stands on so many pages of its host, and on that share of them."""
+MIN_PAGES = 5
+"""A subtree is template if it stands on so many different pages of its host, however large the host."""
 
 
 @dataclass
@@ -163,7 +163,7 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([batch[["page_id", "url"]].reset_index(drop=True), out], axis=1)
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text, n_chars of every page row.
 
     Null and empty pages, and pages of template only, have an empty text.  Repeated rows are
@@ -173,10 +173,9 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN
     schema = "page_id long, url string, main long, blocks array<struct<text:string,around:array<long>>>"
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(_parsed, schema)
     parsed = materialise(read.withColumn("host", host_of(F.col("url"))).withColumn("row", F.monotonically_increasing_id()), "pages")
-    sizes = parsed.groupBy("host").agg(F.count_distinct("main").alias("pages"))
     subtrees = parsed.select("row", "host", "main", F.explode(F.array_distinct(F.flatten("blocks.around"))).alias("hash"))
-    counts = subtrees.select("host", "hash", "main").distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    template = materialise(counts.join(sizes, "host").filter(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
+    counts = subtrees.select("host", "hash", "main").distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+    template = materialise(counts.filter(F.col("n") >= min_pages).select("host", "hash"), "template")
     # written first, so that a small table is broadcast and the texts are not shuffled
     hit = materialise(subtrees.join(template, ["host", "hash"], "left_semi").groupBy("row").agg(F.collect_set("hash").alias("bad")), "hit")
     own = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce("bad", F.array().cast("array<long>"))))

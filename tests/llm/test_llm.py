@@ -511,6 +511,14 @@ def test_template_is_deleted_inside_articles(spark):
     assert {r.page_id: r.text for r in got} == {k: f"Related work {k}\n\nOwn words {k}" for k in range(30)} | {100 + k: "One text" for k in range(30)}
 
 
+@pytest.mark.parametrize("pages", [400, 401, 1000])
+def test_template_does_not_depend_on_the_size_of_its_host(spark, pages):
+    page = lambda k: f"<div>{'<div>Section menu</div>' if k < 20 else ''}<p>Own words {k}</p></div>"
+    data = [(k, f"http://h.example/{k}", page(k)) for k in range(pages)]
+    got = html.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert {r.text for r in got} == {f"Own words {k}" for k in range(pages)}
+
+
 # nearest neighbours
 
 
