@@ -2,8 +2,8 @@
 
 The lexicon comes from labelled documents: words, and stems (word beginnings), that toxic documents
 hold far more often than others.  Each distinct word of a text is run through the trie: stems match
-its beginning, words match it within one edit, found by walking the trie and the word's Levenshtein
-automaton together.  Hits between quotation marks or near a reporting word count apart from abuse,
+its beginning, words the whole, both within a number of edits that grows with their length (a swap of
+neighbours is one), found by walking the trie and the word's Levenshtein automaton together.  Hits between quotation marks or near a reporting word count apart from abuse,
 and hits close together make a window score.  A logistic regression turns these into a probability.
 """
 
@@ -63,37 +63,65 @@ def automaton_start(edits: int) -> frozenset[tuple[int, int]]:
     return frozenset((i, i) for i in range(edits + 1))
 
 
-def automaton_step(states: frozenset[tuple[int, int]], word: str, c: str, edits: int) -> frozenset[tuple[int, int]]:
-    """One input character: match, substitution, insertion, and deletions that follow."""
+def automaton_step(states: frozenset[tuple[int, int]], word: str, c: str, edits: int, swaps: bool = False) -> frozenset[tuple[int, int]]:
+    """One input character: match, substitution, insertion, and deletions that follow.
+
+    With ``swaps``, (-i - 1, e) is a swap begun: characters i and i + 1 of the word, of which i is to come.
+    """
     out: set[tuple[int, int]] = set()
     for i, e in states:
+        if i < 0:
+            if word[-i - 1] == c:
+                out.add((1 - i, e))
+            continue
+        if swaps and e < edits and i + 1 < len(word) and word[i + 1] == c != word[i]:
+            out.add((-i - 1, e + 1))
         if i < len(word) and word[i] == c:
             out.add((i + 1, e))
         if e < edits:
             out.add((i, e + 1))
             if i < len(word):
                 out.add((i + 1, e + 1))
-    for i, e in list(out):
+    for i, e in [x for x in out if x[0] >= 0]:
         out.update((i + d, e + d) for d in range(1, edits - e + 1) if i + d <= len(word))
     return frozenset((i, e) for i, e in out if not any((i, b) in out for b in range(e)))
 
 
-def fuzzy(trie: Trie, word: str, edits: int = 1) -> int | None:
-    """Least number of edits between ``word`` and a lexicon word, or None if over ``edits``."""
+def allowed(length: int) -> int:
+    """Edits that a lexicon entry of this length may be away."""
+    return 0 if length < 4 else 1 if length < 8 else 2
+
+
+def fuzzy(trie: Trie, word: str, edits: int = 1, scaled: bool = False) -> int | None:
+    """Least number of edits between ``word`` and a lexicon word, or None if over ``edits``.
+
+    If ``scaled``, entries match within what their length allows, a swap of neighbours is one edit,
+    and stems match a beginning of ``word``.
+    """
     best: int | None = None
-    todo = [(trie, automaton_start(edits))]
+    todo = [(trie, 0, automaton_start(edits))]
     while todo:
-        node, states = todo.pop()
-        if node.word:
+        node, depth, states = todo.pop()
+        if node.word or (scaled and node.stem):
+            most = min(edits, allowed(depth)) if scaled else edits
             for i, e in states:
-                if i == len(word) and (best is None or e < best):
+                if (i == len(word) if not (scaled and node.stem) else i >= 0) and e <= most and (best is None or e < best):
                     best = e
         for c, child in node.children.items():
-            if nxt := automaton_step(states, word, c, edits):
-                todo.append((child, nxt))
+            if nxt := automaton_step(states, word, c, edits, scaled):
+                todo.append((child, depth + 1, nxt))
     return best
 
 
+def shortened(text: str, most: int) -> set[str]:
+    """``text`` and what is left of it without up to ``most`` characters."""
+    out = last = {text}
+    for _ in range(most):
+        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
+        out = out | last
+    return out
+
+
 @dataclass
 class Model:
     words: list[str]
@@ -113,8 +141,10 @@ class Matcher(dict):
             self.trie.add(w, False)
         for w in stems:
             self.trie.add(w, True)
-        # one edit leaves a half of a lexicon word untouched at its end, so other words need no walk
-        self.halves = {(len(w), w[: len(w) // 2]) for w in words} | {(-len(w), w[len(w) // 2 :]) for w in words}
+        # strings within k edits have a common rest without k characters of each, so other words need no walk
+        self.rests = [{r for w in words if allowed(len(w)) == k for r in shortened(w, k)} for k in (1, 2)]
+        self.sizes = [{n + d for w in words if allowed(n := len(w)) == k for d in range(-k, k + 1)} for k in (1, 2)]
+        self.stem_rests = {n: {r for w in stems if len(w) == n for r in shortened(w, allowed(n))} for n in {len(w) for w in stems}}
 
     def __missing__(self, word: str) -> int:
         kind = NO_HIT
@@ -122,7 +152,7 @@ class Matcher(dict):
             kind = EXACT
         elif self.trie.stem_of(word):
             kind = STEM
-        elif len(word) >= 5 and self.near(word) and fuzzy(self.trie, word) is not None:
+        elif 3 <= len(word) <= CACHE_CHARS and self.near(word) and fuzzy(self.trie, word, 2, scaled=True) is not None:
             kind = FUZZY
         if len(word) <= CACHE_CHARS:
             if len(self) >= CACHE_WORDS:
@@ -131,8 +161,9 @@ class Matcher(dict):
         return kind
 
     def near(self, word: str) -> bool:
-        n = len(word)
-        return any((k, word[: k // 2]) in self.halves or (-k, word[n - (k - k // 2) :]) in self.halves for k in (n - 1, n, n + 1))
+        if any(len(word) in self.sizes[k - 1] and not self.rests[k - 1].isdisjoint(shortened(word, k)) for k in (1, 2)):
+            return True
+        return any(not rests.isdisjoint(shortened(word[:m], allowed(n))) for n, rests in self.stem_rests.items() for m in range(n - allowed(n), min(len(word), n + allowed(n)) + 1))
 
 
 def features(text: str | None, matcher: Matcher) -> np.ndarray:
@@ -195,8 +226,8 @@ def learn_lexicon(rows: list[tuple[str, int]], least: int = 4, odds: float = 12.
     # the shortest beginning stands for the longer ones; a beginning that is all one word adds nothing
     kept = sorted(s for s in found if not any(s[:k] in found for k in range(STEMS[0], len(s))))
     kept = [s for s in kept if sum(w.startswith(s) for w in words) != 1 or stems[1][s] > 1.2 * max(seen[1][w] for w in words if w.startswith(s))]
-    words = sorted(w for w in words if not any(w.startswith(s) for s in kept))
-    return words, kept
+    # words that a stem covers stay, so that misspellings of the whole word are met too
+    return sorted(words), kept
 
 
 def train(rows: list[tuple[str, int]], rounds: int = 600) -> Model:

@@ -475,6 +475,15 @@ def test_misspelled_and_quoted_words():
     assert bare[0] > 0 and bare[3] == 0 and quoted[0] == 0 and quoted[3] > 0
 
 
+def test_misspelled_stems_swaps_and_short_words():
+    m = toxicity.Matcher(["scum", "idiot", "worthless"], ["wretch"])
+    assert [m[w] for w in ("wrtched", "wretched", "idoit", "w0rthl3ss", "skum", "scm")] == [3, 2, 3, 3, 3, 3]
+    assert [m[w] for w in ("clean", "wonderful", "sum", "word")] == [0, 0, 3, 0]
+    rows = [("vermin verminous verminlike filler", 1)] * 20 + [("verge filler", 0)] * 20
+    words, stems = toxicity.learn_lexicon(rows)
+    assert toxicity.Matcher(words, stems)["vremin"] == 3
+
+
 def test_toxicity_awkward(spark, awkward, empty):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = toxicity.toxicity_scores(awkward, labels).collect()
