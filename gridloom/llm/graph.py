@@ -1,53 +1,67 @@
-"""Connected components of an edge table by contraction of least-neighbour forests."""
+"""Connected components of an edge table: contraction to least neighbours, then union-find on a small rest."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import materialise
 
+SMALL = 1 << 14
+"""Links up to which one task finishes the job; more are contracted first, over all tasks."""
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for v, u in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            v, u = find(v), find(u)
+            parent[max(v, u)] = min(v, u)
+    if parent:
+        nodes = np.fromiter(parent, dtype=np.int64, count=len(parent))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.array([find(x) for x in nodes.tolist()], dtype=np.int64))], ["v", "u"])
+
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long), root being the component's least node.
 
-    Each round every node points to its least neighbour; the trees of that forest, which has one edge
-    a node at most however many links there are, are flattened by alternating star contractions, and
-    the links between trees go on to the next round.  Every step is written to the shared folder, so
-    lost executors repeat one step at most, and no link is collected.  An empty edge table has no
-    nodes; loops and repeated edges change nothing.
+    Each round every node goes to its least neighbour's least neighbour and the links between what is
+    left go on; once SMALL links or fewer are left, one task ends them.  Every step is written to the
+    shared folder, so lost executors repeat one step at most, and nothing unbounded meets in one task.
+    An empty edge table has no nodes; loops and repeated edges change nothing.
     """
     links = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
-    named = links.select("v").union(links.select("u")).distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
+    named = None
     for _ in range(most):
-        if links.isEmpty():
+        small = links.count() <= SMALL
+        if small:
+            tops = links.coalesce(1).mapInArrow(_finish, "v long, u long")
+        else:
+            both = links.union(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
+            ups = materialise(both.groupBy("v").agg(F.min("u").alias("u")).select("v", F.least("v", "u").alias("u")), "ups")
+            tops = materialise(ups.join(ups.select(F.col("v").alias("u"), F.col("u").alias("t")), "u").select("v", F.col("t").alias("u")), "tops")
+        to = tops.select(F.col("v").alias("x"), F.col("u").alias("y"))
+        if named is None:
+            named = tops.select(F.col("v").alias("node"), F.col("u").alias("root"))
+        else:
+            named = named.join(to, named.root == to.x, "left").select("node", F.coalesce("y", "root").alias("root"))
+        named = materialise(named, "named")
+        if small:
             return named
-        both = links.select("v", "u").union(links.select("u", "v"))
-        roots = materialise(_flatten(both.groupBy("v").agg(F.min("u").alias("u")).filter("u < v"), most), "roots")
-        named = materialise(named.join(roots.withColumnsRenamed({"v": "rv", "u": "ru"}), F.col("root") == F.col("rv"), "left").select("node", F.coalesce("ru", "root").alias("root")), "named")
-        left = links.join(roots.withColumnsRenamed({"v": "lv", "u": "lu"}), F.col("v") == F.col("lv"), "left").select(F.coalesce("lu", "v").alias("x"), "u")
-        ends = left.join(roots.withColumnsRenamed({"v": "lv", "u": "lu"}), F.col("u") == F.col("lv"), "left").select("x", F.coalesce("lu", "u").alias("y"))
-        links = materialise(ends.filter("x <> y").select(F.greatest("x", "y").alias("v"), F.least("x", "y").alias("u")).distinct(), "links")
+        left = links.join(to, F.col("v") == F.col("x")).select("u", F.col("y").alias("a"))
+        ends = left.join(to, F.col("u") == F.col("x")).select("a", F.col("y").alias("b"))
+        links = materialise(ends.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
     raise RuntimeError(f"components did not settle in {most} rounds")
-
-
-def _flatten(forest: DataFrame, most: int) -> DataFrame:
-    """(v, u): every node that is not least in its tree of ``forest``, and the tree's least node."""
-    now = materialise(forest, "forest")
-    last = None
-    for _ in range(most):
-        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
-        if mark == last or mark[0] == 0:
-            return now
-        last = mark
-        now = materialise(_star(_star(now, larger=True), larger=False), "star")
-    raise RuntimeError(f"a tree did not settle in {most} rounds")
-
-
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
-    """Links each node's (larger, or smaller) neighbours to the least of them and itself."""
-    both = edges.select("v", "u") if not larger else edges.select("v", "u").union(edges.select("u", "v"))
-    least = both.groupBy(F.col("v").alias("c")).agg(F.min("u").alias("m")).withColumn("m", F.least("c", "m"))
-    linked = both.join(least, both.v == least.c).filter("u > c" if larger else "u <> m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-    # the centre keeps its own link to the least
-    return linked.union(least.filter("m < c").select(F.col("c").alias("v"), F.col("m").alias("u"))).distinct()

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -47,7 +48,9 @@ def rows(df, *cols):
 # graph and SimHash
 
 
-def test_components_match_union_find(spark):
+@pytest.mark.parametrize("small", [0, 1 << 14])
+def test_components_match_union_find(spark, monkeypatch, small):
+    monkeypatch.setattr(graph, "SMALL", small)
     rnd = random.Random(1)
     edges = [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)] + [(k, k + 1) for k in range(100, 120)] + [(7, 7)]
     parent = {}
@@ -171,50 +174,135 @@ def test_dedupe_long_run_of_near_copies(spark):
     assert rows(near_dedup.dedupe(spark.createDataFrame(data, "doc_id long, text string")), "doc_id") == [(0,)]
 
 
-def test_dedupe_rounds_lose_no_link_of_a_dense_group(spark):
-    rnd = random.Random(6)
-    base = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
-    texts = []
-    for k in range(260):
-        mine = list(base)
-        for at in rnd.sample(range(200), rnd.randrange(1, 9)):
-            mine[at] = f"edit{k}x{at}"
-        texts.append(" ".join(mine))
-    sets = [set(map(tuple, near_dedup.shingle_set(t).tolist())) for t in texts]
-    prints = [near_dedup.wide_print(t) for t in texts]
-    masks = near_dedup.block_masks(len(texts))
-    a, b = (np.array([p[k] for p in prints]).view(np.uint64) for k in (0, 1))
-    root = list(range(len(texts)))
+def joined(links, size):
+    """Least member of each row's group."""
+    root = list(range(size))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    links = 0
-    for x in range(len(texts)):
-        for y in range(x + 1, len(texts)):
-            xa, xb = a[x] ^ a[y], b[x] ^ b[y]
-            meet = int(xa).bit_count() + int(xb).bit_count() <= near_dedup.RADIUS and (((xa & masks[:, 0]) | (xb & masks[:, 1])) == 0).any()
-            both = len(sets[x] & sets[y])
-            if meet and both >= 0.8 * (len(sets[x]) + len(sets[y]) - both):
-                links += 1
-                p, q = find(x), find(y)
-                root[max(p, q)] = min(p, q)
-    want = {find(x) for x in range(len(texts))}
+    for x, y in links:
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+    return [find(x) for x in range(size)]
+
+
+def all_links(sets):
+    """Pairs whose shingles reach the similarity, from counts of shared shingles over an inverted index."""
+    holders = {}
+    for k, s in enumerate(sets):
+        for h in s:
+            holders.setdefault(h, []).append(k)
+    both = Counter((x, y) for own in holders.values() for n, x in enumerate(own) for y in own[n + 1 :])
+    return [(x, y) for (x, y), n in both.items() if n >= 0.8 * (len(sets[x]) + len(sets[y]) - n)]
+
+
+def edited(rnd, base, k, most):
+    mine = list(base)
+    for at in rnd.sample(range(len(base)), rnd.randrange(1, most)):
+        mine[at] = f"edit{k}x{at}"
+    return mine
+
+
+def test_dedupe_rounds_lose_no_link_of_a_dense_group(spark):
+    rnd = random.Random(6)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    texts = [" ".join(edited(rnd, base, k, 9)) for k in range(260)]
+    links = all_links([set(map(tuple, near_dedup.shingle_set(t).tolist())) for t in texts])
+    want = set(joined(links, len(texts)))
+    kept = near_dedup.dedupe(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert len(links) > 2000 and 1 < len(want) < 200
+    assert {r.doc_id for r in kept.collect()} == want
+
+
+def test_dedupe_hot_bucket_holds_few_pairs(monkeypatch):
+    """A bucket of 5,000 near copies: no more than ``most`` + 1 partners a row come out, and none but live ones."""
+    rnd = np.random.default_rng(3)
+    n = 5000
+    base = rnd.integers(0, 1 << 62, (120, 2), dtype=np.uint64)
+    sets = []
+    for k in range(n):
+        mine = base.copy()
+        mine[rnd.choice(120, 6, replace=False)] = rnd.integers(0, 1 << 62, (6, 2), dtype=np.uint64)
+        sets.append(mine)
+    a, b = (np.array([near_dedup.wide_print(s)[k] for s in sets]).view(np.uint64) for k in (0, 1))
+    c = {"bucket": np.zeros(n, dtype=np.int64), "row": np.arange(n), "label": np.arange(n), "a": a, "b": b, "n": np.full(n, 120), "td": np.full(n, -1), "ty": np.zeros(n, dtype=np.int64)}
+    c["sketch"] = np.frombuffer(b"".join(map(near_dedup.sketch, sets)), dtype=np.uint8).reshape(n, -1)
+    i, j, d = near_dedup.bucket_pairs(c, 4, True)
+    assert len(i) <= 5 * n and (i != j).all()
+    monkeypatch.setattr(near_dedup, "LONG", 1000)
+    i, j, d = near_dedup.bucket_pairs(c, 4, True)
+    assert len(i) <= 5 * n and (np.minimum(i, j) < near_dedup.HEADS).all()
+    c["label"] = np.where(np.arange(n) < 4990, 0, np.arange(n))
+    i, j, d = near_dedup.bucket_pairs(c, 32, False)
+    assert len(i) <= 32 * n and (c["label"][i] != c["label"][j]).all() and set(range(4990, n)) <= set(i.tolist())
+
+
+def test_crowded_buckets_pass_whole(monkeypatch):
+    """Rows of buckets over HELD and LONG come out of both steps, and later rounds meet every pair of components."""
+    monkeypatch.setattr(near_dedup, "HELD", 40)
+    monkeypatch.setattr(near_dedup, "LONG", 60)
+    monkeypatch.setattr(near_dedup, "WINDOW", 6)
+    monkeypatch.setattr(near_dedup, "HEADS", 3)
+    rnd = np.random.default_rng(5)
+    key = np.sort(np.concatenate([np.full(100, 7), np.repeat(np.arange(20, 40), 3), np.arange(50, 90), np.full(30, 95)]))
+    row = np.concatenate([np.sort(rnd.choice(1000, n, replace=False)) for n in np.unique(key, return_counts=True)[1]])
+    batches = lambda *cols: [near_dedup.batch_of("key long, row long", *(c[k : k + 17] for c in cols)) for k in range(0, len(key), 17)]
+    out = [b for b in near_dedup.gather(iter(batches(key, row)))]
+    got = np.concatenate([np.asarray(b.column(1)) for b in out])
+    names = np.concatenate([np.asarray(b.column(0)) for b in out])
+    members = {frozenset(got[names == n].tolist()) for n in np.unique(names)}
+    assert members == {frozenset(row[key == k].tolist()) for k in np.unique(key) if (key == k).sum() > 1}
+    n = 100
+    bits = np.zeros(n, dtype=np.int64)
+    state = {"bucket": np.full(n, 7), "row": np.arange(n), "label": np.arange(n), "a": bits, "b": bits, "n": np.full(n, 5), "td": np.full(n, -1), "ty": bits, "sketch": pa.array([b"\xff" * near_dedup.GROUPS] * n)}
+    pieces = [near_dedup.batch_of("bucket l, row l, label l, a l, b l, n l, td l, ty l, sketch b", *(c[k : k + 9] for c in state.values())) for k in range(0, n, 9)]
+    first = [r for b in near_dedup.meet(4, True)(iter(pieces)) for r in b.to_pylist()]
+    assert {r["x"] for r in first} == set(range(n)) and all(p["y"] < 3 or r["x"] < 3 for r in first for p in r["ps"])
+    later = {(r["x"], p["y"]) for b in near_dedup.meet(4096, False)(iter(pieces)) for r in b.to_pylist() for p in r["ps"]}
+    assert later == {(x, y) for x in range(n) for y in range(n) if x != y}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_dedupe_long_buckets_lose_no_link(spark, monkeypatch, small):
+    """A group that is linked in parts, with components contracted over all tasks or ended in one."""
+    if small:
+        monkeypatch.setattr(graph, "SMALL", 5)
+    rnd = random.Random(9)
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(150)]
+    texts = [" ".join(edited(rnd, base, k, 8)) for k in range(150)] + [f"alone {k} " + " ".join(f"w{k}x{j}" for j in range(rnd.randrange(3, 60))) for k in range(50)]
+    want = set(joined(all_links([set(map(tuple, near_dedup.shingle_set(t).tolist())) for t in texts]), len(texts)))
     kept = near_dedup.dedupe(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert links > 2000 and 1 < len(want) < 200
     assert {r.doc_id for r in kept.collect()} == want
 
 
-@pytest.mark.parametrize("documents", [10_000, 50_000, 500_000, 3_000_000])
-def test_blocks_reach_their_recall_at_every_size(documents):
-    masks = near_dedup.block_masks(documents)
-    differ = np.arccos(2 * 0.8 / 1.8) / np.pi
-    flips = np.random.default_rng(1).random((4000, near_dedup.BITS)) < differ
-    x = np.packbits(flips, axis=1).view(np.uint64)
-    meet = (((x[:, None, 0] & masks[:, 0]) | (x[:, None, 1] & masks[:, 1])) == 0).any(axis=1)
-    assert (meet & (flips.sum(axis=1) <= near_dedup.RADIUS)).mean() >= 0.94
+@pytest.mark.parametrize("words", [6, 9, 15, 40, 100, 333, 1000, 4000])
+def test_blocks_outnumber_the_shingles_near_copies_differ_in(words):
+    """The pigeonhole bound, and pairs right at the similarity share a block, at every size."""
+    rnd = np.random.default_rng(words)
+    for _ in range(20):
+        n = words - 4
+        own = rnd.integers(0, 1 << 63, (n, 2), dtype=np.uint64)
+        classes = near_dedup.size_classes(n)
+        assert max(near_dedup.block_count(k) for k in classes) > (n + int(n / 0.8)) // 9
+        filled = len(np.unique(own[:, 1] % np.uint64(near_dedup.block_count(classes[0]))))
+        assert filled > (n + min(int(n / 0.8), near_dedup.UPPER[classes[0]])) // 9
+        drop = int(n / 9)  # both texts lack so many of the other's shingles: similarity (n - drop) / (n + drop) >= 0.8
+        other = np.concatenate([own[drop:], rnd.integers(0, 1 << 63, (drop, 2), dtype=np.uint64)])
+        assert set(near_dedup.blocks(own).tolist()) & set(near_dedup.blocks(other).tolist())
+        more = np.concatenate([own, rnd.integers(0, 1 << 63, (int(n / 4), 2), dtype=np.uint64)])
+        assert set(near_dedup.blocks(own).tolist()) & set(near_dedup.blocks(more).tolist())
+
+
+def test_sketch_never_rules_out_a_near_copy():
+    rnd = np.random.default_rng(2)
+    for n in (3, 50, 700, 60_000):
+        own = rnd.integers(0, 1 << 63, (n, 2), dtype=np.uint64)
+        other = np.concatenate([own[: n // 2], rnd.integers(0, 1 << 63, (n // 3, 2), dtype=np.uint64)])
+        x, y = (np.frombuffer(near_dedup.sketch(s), dtype=np.uint8) for s in (own, other))
+        assert (x[0] == 255 and y[0] == 255) or np.minimum(x, y).sum(dtype=np.int64) >= n // 2
 
 
 def test_dedupe_awkward(awkward, empty):
