@@ -19,12 +19,31 @@ NONE, NEGATIVE_GAP_JUMP, NEAR_ZERO_GAP_JUMP, LINEAR_FILL, SCALED_FILL = 0, 1, 2,
 ZERO_END_VALUE, POSITIVE_END_VALUE, NO_END_VALUE, THRESHOLD_ADJUSTED = 16, 32, 64, 128
 
 
-def to_long(df: DataFrame, columns: Sequence[str], keys: Keys = Keys()) -> DataFrame:
-    """(keys, column, cum, diff, avg) of a wide table with X, XDiff and XDiff_avg."""
-    each = [F.struct(F.lit(f"{c}Diff").alias("column"), F.col(f"`{c}`").cast("double").alias("cum"), F.col(f"`{c}Diff`").cast("double").alias("diff"), F.col(f"`{c}Diff_avg`").cast("double").alias("avg")) for c in columns]
+def to_long(df: DataFrame, columns: Sequence[str], keys: Keys = Keys(), carried: Sequence[str] = ()) -> DataFrame:
+    """(keys, column, cum, diff, avg) of a wide table with X, XDiff and XDiff_avg.
+
+    Columns ``carried`` travel as one struct on the row of the first meter alone.
+    """
+    each = []
+    for k, c in enumerate(columns):
+        parts = [F.lit(f"{c}Diff").alias("column"), F.col(f"`{c}`").cast("double").alias("cum"), F.col(f"`{c}Diff`").cast("double").alias("diff"), F.col(f"`{c}Diff_avg`").cast("double").alias("avg")]
+        if carried:
+            whole = F.struct(*[F.col(f"`{r}`") for r in carried])
+            parts.append((whole if k == 0 else F.lit(None).cast(df.select(whole).schema[0].dataType)).alias("carried"))
+        each.append(F.struct(*parts))
     return df.select(*keys.entity, *keys.order, F.inline(F.array(*each)))
 
 
+def numbered(df: DataFrame, keys: Keys = Keys(), out: str = "reading") -> DataFrame:
+    """Numbers the readings of a household at one moment (null moments too) from 1, by their contents.
+
+    Rows equal in all columns are interchangeable, so a repeated task gives the same table.
+    """
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields]
+    w = Window.partitionBy(*keys.entity, *keys.order).orderBy(F.xxhash64(*plain), F.hash(*plain))
+    return df.withColumn(out, F.row_number().over(w))
+
+
 def gap_groups(long: DataFrame, keys: Keys = Keys(), by: Sequence[str] = ("column",)) -> DataFrame:
     """Adds grp (null outside gaps) and gap_length.
 
@@ -113,10 +132,17 @@ def reconstruct_long(df: DataFrame, keys: Keys = Keys(), by: Sequence[str] = ("c
 
 
 def to_wide(long: DataFrame, columns: Sequence[str], keys: Keys = Keys()) -> DataFrame:
-    """One row per reading with X, XOriginal, XCheck, XDiff, XOldDiff, XDiff_avg, XDiff_is_imputed, XDiff_impute_type."""
+    """One row per reading with X, XOriginal, XCheck, XDiff, XOldDiff, XDiff_avg, XDiff_is_imputed, XDiff_impute_type.
+
+    ``keys`` must tell readings apart (see :func:`numbered`).  Carried columns come back as they were.
+    """
     out = []
     for c in columns:
         mine = F.col("column") == f"{c}Diff"
         for name, source in ((c, "cum"), (f"{c}Original", "original"), (f"{c}Check", "check"), (f"{c}Diff", "diff"), (f"{c}OldDiff", "old_diff"), (f"{c}Diff_avg", "avg"), (f"{c}Diff_is_imputed", "is_imputed"), (f"{c}Diff_impute_type", "impute_type")):
             out.append(F.max(F.when(mine, F.col(source))).alias(name))
-    return long.groupBy(*keys.entity, *keys.order).agg(*out)
+    if "carried" not in long.columns:
+        return long.groupBy(*keys.entity, *keys.order).agg(*out)
+    names = [f.name for f in long.schema["carried"].dataType.fields]
+    wide = long.groupBy(*keys.entity, *keys.order).agg(*out, F.first("carried", ignorenulls=True).alias("carried"))
+    return wide.select(*[F.col(f"`{c}`") for c in wide.columns if c != "carried"], *[F.col("carried")[n].alias(n) for n in names])

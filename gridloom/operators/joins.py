@@ -1,4 +1,9 @@
-"""Joins of series with household metadata, weather stations and weather."""
+"""Joins of series with household metadata, weather stations and weather.
+
+The dimensions carry no broadcast hint: the planner broadcasts a side whose size in bytes it knows to be
+below ``spark.sql.autoBroadcastJoinThreshold``, at run time too, and shuffles otherwise.  No job runs while
+a plan is built.
+"""
 
 from __future__ import annotations
 
@@ -10,26 +15,17 @@ from pyspark.sql import functions as F
 from gridloom.config import HOUSE, PROJECT, TIME
 from gridloom.functions.scalar import station_hour
 
-SMALL_ROWS = 1_000_000
-"""Dimension rows up to which a side is broadcast; beyond, the join shuffles."""
-
-
-def dimension(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a bounded count proves it small."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def add_index_columns(df: DataFrame, index: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Metadata columns by household; none asked for, none added."""
     if not columns:
         return df
-    return df.join(dimension(index.select(HOUSE, PROJECT, *[c for c in columns if c not in (HOUSE, PROJECT)])), [HOUSE, PROJECT], "left")
+    return df.join(index.select(HOUSE, PROJECT, *[c for c in columns if c not in (HOUSE, PROJECT)]), [HOUSE, PROJECT], "left")
 
 
 def join_index(df: DataFrame, index: DataFrame, on: Sequence[str] = (HOUSE, PROJECT)) -> DataFrame:
     """All metadata by household; columns that clash get the suffix _right."""
     clash = {c: f"{c}_right" for c in index.columns if c in df.columns and c not in on}
-    return df.join(dimension(index.withColumnsRenamed(clash)), list(on), "left")
+    return df.join(index.withColumnsRenamed(clash), list(on), "left")
 
 
 def without_right(df: DataFrame) -> DataFrame:
@@ -39,17 +35,23 @@ def without_right(df: DataFrame) -> DataFrame:
 def join_station(df: DataFrame, stations: DataFrame, on: str = PROJECT) -> DataFrame:
     """Weather station of each project; earlier station columns are replaced."""
     names = [c for c in ("Weerstation", "STN") if c in stations.columns]
-    return df.drop(*names).join(dimension(stations.select(on, *names)), on, "left")
+    return df.drop(*names).join(stations.select(on, *names), on, "left")
+
+
+# The weather columns that table bundles hold beside the keys.
+WEATHER_COLUMNS = ("Temperatuur", "Gevoelstemperatuur", "Vochtigheid", "Windsnelheid", "TemperatuurRA", "GevoelstemperatuurRA", "Koudste2WkTemperatuur", "Koudste2WkGevoelstemperatuur")
 
 
-def join_weather(df: DataFrame, weather: DataFrame, time: str = TIME) -> DataFrame:
-    """Weather of each reading's station, date and hour (hours are numbered 1 to 24)."""
+def join_weather(df: DataFrame, weather: DataFrame, time: str = TIME, columns: Sequence[str] | None = None) -> DataFrame:
+    """Weather of each reading's station, date and hour (hours are numbered 1 to 24); all or some ``columns``."""
+    if columns is not None:
+        weather = weather.select("STN", "YYYYMMDD", "HH", *[c for c in columns if c in weather.columns])
     if "YYYYMMDD" not in df.columns:
         date, hour = station_hour(F.col(time))
         df = df.withColumns({"YYYYMMDD": date, "HH": hour})
     keys = ["STN", "YYYYMMDD", "HH"]
     clash = [c for c in weather.columns if c in df.columns and c not in keys]
-    return df.join(dimension(weather.drop(*clash)), keys, "left")
+    return df.join(weather.drop(*clash), keys, "left")
 
 
 def exclude_project(df: DataFrame, project: int, column: str = PROJECT) -> DataFrame:

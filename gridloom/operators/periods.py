@@ -17,7 +17,10 @@ def steps(days: float, interval: str = "60min") -> int:
 
 
 def _series(by: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*(by or [F.lit(0)]))
+    """Windows run within a series, in one task each; a table of many series needs its columns named."""
+    if not by:
+        raise ValueError("name the columns that tell series apart; without any, all rows would meet in one task")
+    return Window.partitionBy(*by)
 
 
 def rolling_mean(x: Column, w: WindowSpec, n: int) -> Column:
@@ -30,6 +33,15 @@ def rolling_average(df: DataFrame, by: Sequence[str], var: str, n: int, order: S
     return df.withColumn(out, rolling_mean(F.col(f"`{var}`"), _series(by).orderBy(*order), n))
 
 
+def rolling_days(df: DataFrame, by: Sequence[str], var: str, days: float = 14, order: Sequence[str] = (TIME,), out: str = "RollingAverage") -> DataFrame:
+    """Trailing mean over ``days``; the rows in a day follow from the least step between moments of the data."""
+    moment = F.col(order[0])
+    gap = F.unix_micros(moment.cast("timestamp")) - F.unix_micros(F.lag(moment).over(_series(by).orderBy(*order)).cast("timestamp"))
+    step = df.select(gap.alias("gap")).filter("gap > 0").agg(F.min("gap")).first()[0]
+    n = max(1, round(days * 86_400_000_000 / step)) if step else 1
+    return rolling_average(df, by, var, n, order, out)
+
+
 def _extreme_period(df: DataFrame, by: Sequence[str], var: str, n: int, order: Sequence[str], best, out: str) -> DataFrame:
     w, ordered = _series(by), _series(by).orderBy(*order)
     time = order[0]

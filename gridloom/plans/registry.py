@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridloom.config import FULL_BIN, TO_KW, Keys, Variable
+from gridloom.config import FULL_BIN, Keys, Variable, minutes
 from gridloom.functions import scalar
 from gridloom.operators import averages, impute, joins, periods, stats, weather
 from gridloom.operators.resample import aggregate, mean_diffs, resample
@@ -110,19 +110,14 @@ daily AS (SELECT sp.project, sp.house, sp.ts, b0.value FROM sp LEFT JOIN b0 ON s
 
 @query("SELECT c_custkey, c_nationkey, c_name FROM customer WHERE c_acctbal > 0")
 def scan_filter_included(spark, sf):
-    return _read(spark, sf, "customer").withColumn("Meenemen", F.col("c_acctbal") > 0).filter("Meenemen").select("c_custkey", "c_nationkey", "c_name")
+    index = _read(spark, sf, "customer").withColumn("Meenemen", F.col("c_acctbal") > 0)
+    return tables.select_columns(tables.included(index), ["c_custkey", "c_nationkey", "c_name"])
 
 
-@query("SELECT 'c' AS kind, c_custkey AS house, c_nationkey AS project, c_acctbal AS bal FROM customer UNION ALL SELECT 's', s_suppkey, s_nationkey, s_acctbal FROM supplier")
-def multi_file_union(spark, sf):
-    c = _read(spark, sf, "customer").select(F.lit("c").alias("kind"), F.col("c_custkey").alias("house"), F.col("c_nationkey").alias("project"), F.col("c_acctbal").alias("bal"))
-    return c.unionByName(_read(spark, sf, "supplier").select(F.lit("s").alias("kind"), F.col("s_suppkey").alias("house"), F.col("s_nationkey").alias("project"), F.col("s_acctbal").alias("bal")))
-
-
-@query("SELECT e.event_id, e.user_id AS \"HuisIdBSV\", c.c_mktsegment AS \"Dataleverancier\" FROM events e LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c ON e.user_id = c.c_custkey AND e.user_id % 5 = c.c_custkey % 5")
+@query("SELECT e.event_id, e.user_id AS \"HuisIdBSV\", c.s_name AS \"Dataleverancier\" FROM events e LEFT JOIN supplier c ON e.user_id = c.s_suppkey AND e.user_id % 5 = c.s_suppkey % 5")  # fewer suppliers than users: some rows have no match
 def metadata_join(spark, sf):
     ev = _read(spark, sf, "events").select("event_id", F.col("user_id").alias("HuisIdBSV"), (F.col("user_id") % 5).alias("ProjectIdBSV"))
-    index = _read(spark, sf, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("HuisIdBSV"), (F.col("c_custkey") % 5).alias("ProjectIdBSV"), F.col("c_mktsegment").alias("Dataleverancier"))
+    index = _read(spark, sf, "supplier").select(F.col("s_suppkey").alias("HuisIdBSV"), (F.col("s_suppkey") % 5).alias("ProjectIdBSV"), F.col("s_name").alias("Dataleverancier"))
     return joins.add_index_columns(ev, index, ["Dataleverancier"]).drop("ProjectIdBSV")
 
 
@@ -144,9 +139,10 @@ def project_station(spark, sf):
     return joins.join_station(n.select(F.col("n_nationkey").alias("ProjectIdBSV"), F.lit("old").alias("Weerstation")), stations)
 
 
-@query("SELECT \"column\", \"rows\", null_count FROM (SELECT 'event_id' AS \"column\", count(*) AS \"rows\", count(*) - count(event_id) AS null_count FROM events UNION ALL SELECT 'value', count(*), count(*) - count(value) FROM events UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type) FROM events)")
+@query(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", {t.format(f'min({c})')} AS \"min\", {t.format(f'max({c})')} AS \"max\", count(*) - count({c}) AS null_count FROM events" for c, t in (("event_id", "CAST({} AS VARCHAR)"), ("value", "CAST(CAST({} AS DECIMAL(18, 2)) AS VARCHAR)"), ("event_type", "{}"))))
 def table_profile(spark, sf):
-    return tables.profile(_read(spark, sf, "events").select("event_id", "value", "event_type")).select("column", "rows", "null_count")
+    df = tables.profile(_read(spark, sf, "events").select("event_id", F.col("value").cast("decimal(18,2)").alias("value"), "event_type"))
+    return df.select("column", "rows", "min", "max", "null_count")
 
 
 # time buckets and project aggregation
@@ -346,10 +342,10 @@ def normalized_datetime(spark, sf):
     return scalar.normalized_datetime(df).select("event_id", "day_of_week", "time_of_day", "normalized_datetime")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', {round(TO_KW[k], 6)}::DOUBLE, {n})" for k, n in FULL_BIN.items()) + ") t(\"interval\", factor, full_bin)")
+@query("SELECT * FROM (VALUES ('5min', 12.0::DOUBLE, 1, 1), ('15min', 4.0, 3, 15), ('60min', 1.0, 12, 60), ('6h', 0.166667, 72, 360), ('24h', 0.041667, 288, 1440)) t(\"interval\", factor, full_bin, steps) WHERE steps = 1 OR steps = 5 * full_bin")
 def interval_multiplier(spark, sf):
-    rows = [(k, round(scalar.to_kw(k), 6), n) for k, n in FULL_BIN.items()]
-    return spark.createDataFrame(rows, "interval string, factor double, full_bin int")
+    rows = [(k, round(scalar.to_kw(k), 6), n, 1 if k == "5min" else minutes(k)) for k, n in FULL_BIN.items()]
+    return spark.createDataFrame(rows, "interval string, factor double, full_bin int, steps int")
 
 
 def _sig_sql(x: str) -> str:
@@ -361,10 +357,10 @@ def equal_sig_fig(spark, sf):
     return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", scalar.equal_sig_fig(F.col("l_extendedprice"), F.col("l_extendedprice") + F.col("l_quantity"), 3).alias("same"))
 
 
-@query("WITH w AS (SELECT l_orderkey, l_linenumber, l_quantity - 15 AS t, 50 + 1000 * l_tax / 2 AS u, l_discount * 100 AS f FROM lineitem) SELECT l_orderkey, l_linenumber, round(t + 0.33 * (u * 6.105 * exp(17.27 * t / (t + 237.7)) / 100) - 0.7 * f - 4.0, 5) AS felt FROM w")
+@query("WITH w AS (SELECT l_orderkey, l_linenumber, l_quantity - 15 AS t, 50 + 1000 * l_tax / 2 AS u, l_discount * 100 AS f FROM lineitem) SELECT l_orderkey, l_linenumber, round(t + 0.33 * (u * 6.105 * exp(17.27 * t / (t + 237.7)) / 100) - 0.7 * f - 4.0, 8) AS felt FROM w")  # to eight digits: at five, values at t = 0 lie on ties
 def apparent_temperature(spark, sf):
     t, u, f = F.col("l_quantity") - 15, 50 + 1000 * F.col("l_tax") / 2, F.col("l_discount") * 100
-    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(scalar.apparent_temperature(t, u, f), 5).alias("felt"))
+    return _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.round(scalar.apparent_temperature(t, u, f), 8).alias("felt"))
 
 
 # rolling averages and periods
@@ -413,9 +409,9 @@ def mark_highest_peak(spark, sf):
     return periods.mark_highest_peak(_rolled(spark, sf), ["project"], "x", 5, ["day"]).select("project", "day", "peak")
 
 
-@query(f"WITH {READINGS}, a AS (SELECT project, max(x) AS x FROM (SELECT project, day, CAST(sum(cents) AS DOUBLE) AS x FROM readings GROUP BY 1, 2) GROUP BY 1), b AS (SELECT project, max(CAST(cents AS DOUBLE)) AS y FROM readings WHERE project <> 4 GROUP BY 1) SELECT coalesce(a.project, b.project) AS project, x AS \"HighestDailyAvg\", y AS \"Highest5MinAvg\", round(x / y, 6) AS \"Ratio\" FROM a FULL JOIN b ON a.project = b.project")
+@query(f"WITH {READINGS}, a AS (SELECT project, max(x) AS x FROM (SELECT project, day, CAST(sum(cents) AS DOUBLE) AS x FROM readings GROUP BY 1, 2) GROUP BY 1), b AS (SELECT project, max(CAST(cents AS DOUBLE)) AS y FROM readings GROUP BY 1) SELECT coalesce(a.project, b.project) AS project, x AS \"HighestDailyAvg\", y AS \"Highest5MinAvg\", round(x / y, 6) AS \"Ratio\" FROM a FULL JOIN b ON a.project = b.project")
 def simultaneity_ratio(spark, sf):
-    fine = _readings(spark, sf).filter("project <> 4").select("project", F.col("cents").cast("double").alias("x"))
+    fine = _readings(spark, sf).select("project", F.col("cents").cast("double").alias("x"))
     return periods.simultaneity(_totals(spark, sf), fine, "x", "project").select("project", "HighestDailyAvg", "Highest5MinAvg", *_r("Ratio"))
 
 
@@ -447,7 +443,10 @@ def weather_rolling(spark, sf):
     return weather.weather_table(_hourly(spark, sf), 24).select("STN", "YYYYMMDD", "HH", F.round("TemperatuurRA", 5).alias("TemperatuurRA"))
 
 
-@query(f"WITH {HOURLY} SELECT r.event_id, h.\"Temperatuur\" FROM readings r LEFT JOIN (SELECT * FROM hourly WHERE \"HH\" <> 5) h ON r.project = h.\"STN\" AND CAST(strftime(r.ts, '%Y%m%d') AS INTEGER) = h.\"YYYYMMDD\" AND hour(r.ts) + 1 = h.\"HH\"")
+@query(f"WITH {HOURLY} SELECT r.event_id, h.\"Temperatuur\" FROM readings r LEFT JOIN hourly h ON r.project = h.\"STN\" AND CAST(strftime(r.ts, '%Y%m%d') AS INTEGER) = h.\"YYYYMMDD\" AND hour(r.ts) + 1 = h.\"HH\"")
 def weather_join(spark, sf):
     series = _readings(spark, sf).select("event_id", F.col("project").alias("STN"), F.col("ts").alias("ReadingDate"))
-    return joins.join_weather(series, _hourly(spark, sf).filter("HH <> 5").select("STN", "YYYYMMDD", "HH", "Temperatuur")).select("event_id", "Temperatuur")
+    return joins.join_weather(series, _hourly(spark, sf).select("STN", "YYYYMMDD", "HH", "Temperatuur")).select("event_id", "Temperatuur")
+
+
+import gridloom.plans.stored  # noqa: E402, F401  registers the queries that go through stored tables

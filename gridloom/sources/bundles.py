@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.config import PROJECT, TIME, EngineConfig
-from gridloom.operators.joins import exclude_project, join_index, join_station, join_weather
+from gridloom.operators.joins import WEATHER_COLUMNS, exclude_project, join_index, join_station, join_weather
 from gridloom.operators.weather import weather_table
 from gridloom.sources import tables
 from gridloom.sources.weather import read_stations, weather_data
@@ -21,7 +21,7 @@ def household_tables(spark: SparkSession, config: EngineConfig, include_weather:
     out = {i: join_index(tables.read_households(spark, config, i), index) for i in intervals}
     if include_weather:
         weather, stations = _weather(spark, config)
-        out = {i: join_weather(join_station(df, stations), weather) for i, df in out.items()}
+        out = {i: join_weather(join_station(df, stations), weather, columns=WEATHER_COLUMNS) for i, df in out.items()}
         out["weather"] = weather
     return out
 
@@ -30,7 +30,7 @@ def project_tables(spark: SparkSession, config: EngineConfig, include_weather: b
     out = {i: exclude_project(tables.read_aggregate(spark, config, "project", i), config.excluded_project) for i in intervals}
     if include_weather:
         weather, stations = _weather(spark, config)
-        out = {i: join_weather(join_station(df, stations), weather) for i, df in out.items()}
+        out = {i: join_weather(join_station(df, stations), weather, columns=WEATHER_COLUMNS) for i, df in out.items()}
         out |= {"weather": weather, "project_weather": stations}
     return out
 

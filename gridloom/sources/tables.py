@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.config import HOUSE, PROJECT, EngineConfig
-from gridloom.operators.joins import add_index_columns, dimension
+from gridloom.operators.joins import add_index_columns
 
 
 def sanitize(name: str) -> str:
@@ -18,11 +19,22 @@ def sanitize(name: str) -> str:
     return re.sub(r"\W+", "_", name).lower()
 
 
+def scan(spark: SparkSession, *paths: str, merge: bool = False) -> DataFrame:
+    """Parquet as it is.  Where files hold nanosecond timestamps, and only there, the session's setting
+    ``spark.sql.legacy.parquet.nanosAsLong`` is turned on, and stays on, since Spark reads it as the query runs."""
+    reader = spark.read.option("mergeSchema", merge)
+    try:
+        return reader.parquet(*paths)
+    except AnalysisException as e:
+        if "NANOS" not in str(e):
+            raise
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        return reader.parquet(*paths)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with NaN as null and nanosecond timestamps (read as long) as microseconds."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.parquet(path)
-    return normalise(df)
+    """Parquet with NaN as null and nanosecond timestamps (read as long) as microseconds; see :func:`scan`."""
+    return normalise(scan(spark, path))
 
 
 def normalise(df: DataFrame, nanos: Sequence[str] = ("ReadingDate",)) -> DataFrame:
@@ -32,7 +44,8 @@ def normalise(df: DataFrame, nanos: Sequence[str] = ("ReadingDate",)) -> DataFra
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.when(~F.isnan(c), c)
         elif f.name in nanos and isinstance(f.dataType, T.LongType):
-            c = F.timestamp_micros(F.floor(c / 1000)).cast("timestamp_ntz")
+            # without a zone from the start: a cast of an instant would depend on the session's
+            c = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(floor(`{f.name}` / 1000) AS DECIMAL(24, 6)) / 1000000)")
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -43,6 +56,18 @@ def read_index(spark: SparkSession, config: EngineConfig) -> DataFrame:
     return df.withColumnRenamed("HuisCode", HOUSE) if HOUSE not in df.columns else df
 
 
+def included(index: DataFrame, flag: str = "Meenemen") -> DataFrame:
+    """Households that take part; a null flag is none."""
+    return index.filter(F.col(flag))
+
+
+def select_columns(df: DataFrame, names: Sequence[str] = (), starts: str | None = None, ends: str | None = None, contains: str | None = None, without: str | None = None) -> DataFrame:
+    """Columns by name: those of ``names``, and those that begin with, end with or contain a text; never those that contain ``without``."""
+    fits = lambda c: c in names or (starts is not None and c.startswith(starts)) or (ends is not None and c.endswith(ends)) or (contains is not None and contains in c)
+    any_rule = names or starts is not None or ends is not None or contains is not None
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if (fits(c) if any_rule else True) and not (without and without in c)])
+
+
 def read_households(spark: SparkSession, config: EngineConfig, interval: str = "default", metadata: Sequence[str] | None = None) -> DataFrame:
     df = read_table(spark, f"{config.aggregate_folder_path}/household_{interval}.parquet")
     return add_index_columns(df, read_index(spark, config), metadata) if metadata else df
@@ -65,16 +90,15 @@ def union_households(spark: SparkSession, config: EngineConfig) -> DataFrame:
 
     The paths come from the index's included rows, so other households' files are not read.
     """
-    index = read_index(spark, config).filter("Meenemen").select(F.col(HOUSE).cast("long").alias(HOUSE), F.col(PROJECT).cast("long").alias(PROJECT)).distinct()
+    index = included(read_index(spark, config)).select(F.col(HOUSE).cast("long").alias(HOUSE), F.col(PROJECT).cast("long").alias(PROJECT)).distinct()
     paths = [f"{config.mapped_folder_path}/household_{r[0]}_table.parquet" for r in index.select(HOUSE).distinct().toLocalIterator()]
     if not paths:
         raise ValueError("no household is included")
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    df = spark.read.option("mergeSchema", True).parquet(*paths)
+    df = scan(spark, *paths, merge=True)
     # the name of a single file, or of the folder that a writer made of it
     name = F.regexp_extract(F.col("_metadata.file_path"), r"household_(\d+)_table", 1).cast("long")
     df = normalise(df.select("*", name.alias(HOUSE)).drop(PROJECT) if HOUSE not in df.columns else df.drop(HOUSE, PROJECT).select("*", name.alias(HOUSE)))
-    return df.join(dimension(index), HOUSE)
+    return df.join(index, HOUSE)
 
 
 def write_table(df: DataFrame, path: str, partition: str | None = PROJECT) -> None:
