@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialise
+from gridloom.llm.common import materialise, spread_join
 
 SALTS = 256
 
@@ -67,14 +67,15 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row.
 
     size is the UTF-8 bytes plus 16; a null text counts as empty and is in its group.  The law is
-    ``bytes``; grown_shard is null.  Repeated rows and null ids each take a slot.  A group larger than
-    an even share sets the capacity.  An empty table gives no rows.  Only doc_id and text are read.
+    ``bytes``; grown_shard is null.  Repeated rows and null ids each take a slot; groups of equal size are
+    ordered by digest, rows of a shard by id and digest.  A group larger than an even share, and so a very
+    long text, sets the capacity.  An empty table gives no rows.  Only doc_id and text are read.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
     text = F.coalesce("text", F.lit(""))
     rows = materialise(docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text.cast("binary"))).alias("digest")), "sizes")
-    groups = materialise(rows.groupBy("digest", "size").agg(F.count("*").alias("copies")).select("digest", (F.col("size") * F.col("copies")).alias("bytes")), "groups")
+    groups = materialise(rows.groupBy("digest", "size").agg(F.count("*").alias("copies")).select("digest", "copies", (F.col("size") * F.col("copies")).alias("bytes")), "groups")
     runs = [(r[0], r[1]) for r in groups.groupBy("bytes").agg(F.count("*").alias("n")).orderBy(F.desc("bytes")).collect()]
     cuts = fill(runs, smallest_capacity(runs, shards), shards) or []
     # within a size that is cut, a group's place decides; elsewhere its size does
@@ -89,5 +90,5 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40) -> DataFrame:
         by_size = F.when(F.col("bytes") < size, shard).otherwise(by_size)
         by_place = F.when((F.col("bytes") < size) | ((F.col("bytes") == size) & (F.col("place") >= before)), shard).otherwise(by_place)
     placed = ranked.select("digest", by_place.cast("int").alias("shard")).union(groups.filter(~inside).select("digest", by_size.cast("int").alias("shard")))
-    out = _rank(rows.join(placed, "digest"), ["shard"], ["doc_id", "digest"], F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SALTS)), "slot")
+    out = _rank(spread_join(rows, placed, groups.select("digest", F.col("copies").alias("n")), "digest", F.col("doc_id")), ["shard"], ["doc_id", "digest"], F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SALTS)), "slot")
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -1,9 +1,7 @@
 """SimHash near-duplicates: pigeonhole blocks, join on blocks, verified Hamming distance.
 
-Two uses share the fingerprints.  :func:`simhash_components` links 64-bit fingerprints within a small
-radius exactly.  :func:`near_duplicates` finds texts whose word-shingle similarity reaches a bound:
-fingerprints of several hundred bits, so that the Hamming distance tells the similarity, candidates
-that share a block, verification by distance and then by the shingles themselves.
+64-bit fingerprints within a small radius are linked exactly, and the components named by their least
+document.  (``near_dedup`` has the fingerprints for whole corpora, where similarity of shingles decides.)
 """
 
 from __future__ import annotations
@@ -18,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from gridloom.llm.common import materialise
+from gridloom.llm.common import materialise, spread_join
 from gridloom.llm.graph import components
 
 SEED, BITS = 42, 64
@@ -112,13 +110,14 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 2) -> DataF
     """doc_id, fp, fingerprint (16 hex digits), component_id (least doc_id reachable) of every row.
 
     Copies share a fingerprint and are linked through it, once; null and empty texts have
-    fingerprint zero, linked like any other.  Repeated rows stay.  A null doc_id belongs to its
-    component without naming it (a component of such rows alone has a null id).  An empty table gives
-    no rows.  Only doc_id and text are read, so further columns cannot clash.
+    fingerprint zero, linked like any other; very long texts count whole.  A bit set in exactly half of the
+    hashes is 0.  Repeated rows stay.  A null doc_id belongs to its component without naming it (a component
+    of such rows alone has a null id).  An empty table gives no rows.  Only doc_id and text are read, so
+    further columns cannot clash.
     """
     prints = materialise(docs.select("doc_id", fingerprint(F.col("text"), size).alias("fp")), "prints")
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fps")
+    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "fps")
     roots = components(close_pairs(distinct, radius))
     ids = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = ids.select("fp", "root").join(ids.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return spread_join(prints, named, distinct.select("fp", "n"), "fp", F.col("doc_id")).select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
