@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialise
+from gridloom.llm.common import discard, materialise
 
 SMALL = 1 << 14
 """Links up to which one task finishes the job; more are contracted first, over all tasks."""
@@ -44,7 +44,7 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
     An empty edge table has no nodes; loops and repeated edges change nothing.
     """
     links = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
-    named = None
+    named = last = None
     for _ in range(most):
         small = links.count() <= SMALL
         if small:
@@ -57,11 +57,15 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         if named is None:
             named = tops.select(F.col("v").alias("node"), F.col("u").alias("root"))
         else:
-            named = named.join(to, named.root == to.x, "left").select("node", F.coalesce("y", "root").alias("root"))
+            last, named = named, named.join(to, named.root == to.x, "left").select("node", F.coalesce("y", "root").alias("root"))
         named = materialise(named, "named")
+        discard(last)
         if small:
+            discard(links)
             return named
         left = links.join(to, F.col("v") == F.col("x")).select("u", F.col("y").alias("a"))
         ends = left.join(to, F.col("u") == F.col("x")).select("a", F.col("y").alias("b"))
-        links = materialise(ends.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
+        left = materialise(ends.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "links")
+        discard(links, ups, tops)
+        links = left
     raise RuntimeError(f"components did not settle in {most} rounds")

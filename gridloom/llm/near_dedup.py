@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import materialise
+from gridloom.llm.common import discard, materialise
 from gridloom.llm.graph import components
 from gridloom.llm.simhash import words_of
 
@@ -401,18 +401,21 @@ def labels(plain: DataFrame, texts: DataFrame) -> DataFrame:
     sets = materialise(found.select("row", "text").mapInArrow(shingle_longs, "row long, s array<long>").dropDuplicates(["row"]), "sets")
     most, first = FIRST, True
     while True:
+        last = state
         tried = materialise(partners(near, most, first), "partners")
         roots = components(similar(tried, sets))
         state = state.join(roots, state.label == roots.node, "left").withColumn("label", F.coalesce("root", "label")).drop("node", "root")
         if not first:
-            last = F.element_at("ps", -1)
-            ends = tried.select("x", F.when(F.size("ps") < most, F.lit(BITS + 1)).otherwise(last["d"]).cast("long").alias("nd"), last["y"].alias("ny"))
+            end = F.element_at("ps", -1)
+            ends = tried.select("x", F.when(F.size("ps") < most, F.lit(BITS + 1)).otherwise(end["d"]).cast("long").alias("nd"), end["y"].alias("ny"))
             state = state.join(ends, state.row == ends.x, "left").withColumns({"td": F.coalesce("nd", "td"), "ty": F.coalesce("ny", "ty")}).drop("x", "nd", "ny")
         state = materialise(state, "state")
         first, most = False, min(GROWTH * most, MOST)
         # the next round's live pairs are among this one's
-        near = materialise(meetings(near.select("bucket", F.col("x").alias("row")), state, most, False), "near")
+        met, near = near, materialise(meetings(near.select("bucket", F.col("x").alias("row")), state, most, False), "near")
+        discard(last, tried, met, roots)
         if near.isEmpty():
+            discard(near, sets)
             return state.select("row", "label")
 
 
