@@ -41,7 +41,7 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
 class Writer:
     """Writes documents in the order given; the file appears under its name when closed."""
 
-    def __init__(self, path: str, level: int = 3):
+    def __init__(self, path: str, level: int = 1):
         self.fs, self.path = file_system(path)
         self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
         self.temporary = f"{self.path}.{uuid.uuid4().hex}.tmp"

@@ -7,6 +7,7 @@ in order; texts for which that does not hold go to the library whole.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from functools import cache
@@ -15,10 +16,24 @@ from itertools import chain
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-CACHE_WORDS, CACHE_CHARS, STEP = 400_000, 64, 64
-#: Fixed values of the word tokenizer: how its pre-tokenizer cuts lower-cased printable ASCII and Latin-1 letters.
+CACHE_WORDS, CACHE_CHARS, STEP = 800_000, 64, 64
+# Fixed values of the word tokenizer: how its pre-tokenizer cuts lower-cased printable ASCII and Latin-1 letters,
+# and what its file declares.
 CUT = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+DECLARED = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
 
 
 def file_digest(path: str) -> str:
@@ -28,24 +43,28 @@ def file_digest(path: str) -> str:
 
 
 class _Cached(dict):
-    """piece -> value; whole batches of unknown pieces are encoded at once, long pieces are not kept."""
+    """piece -> value; whole batches of unknown pieces are encoded at once.  Long pieces stay for one batch only."""
+
+    long: list[str] = []
 
     def encode(self, pieces: list[str]) -> list:
         raise NotImplementedError
 
-    def learn(self, pieces: set[str]) -> dict:
-        if not (new := [p for p in pieces if p not in self]):
-            return self
-        got = dict(zip(new, self.encode(new), strict=True))
-        kept = {w: v for w, v in got.items() if len(w) <= CACHE_CHARS}
-        if len(self) + len(kept) > CACHE_WORDS or len(kept) < len(got):
-            both = {w: self[w] for w in pieces & self.keys()} | got
-            if len(self) + len(kept) > CACHE_WORDS:
-                self.clear()
-            self.update(kept)
-            return both
-        self.update(kept)
-        return self
+    def learn(self, pieces: set[str]) -> None:
+        for p in self.long:
+            self.pop(p, None)
+        new = [p for p in pieces if p not in self]
+        if new and len(self) + len(new) > CACHE_WORDS // 2:
+            self.clear()
+            new = list(pieces)
+        self.long = [p for p in new if len(p) > CACHE_CHARS]
+        if new:
+            self.update(zip(new, self.encode(new), strict=True))
+
+
+def declared(file: dict) -> bool:
+    """Whether a tokenizer's file declares what ``CUT`` and ``PLAIN`` stand for, and a model that sees words alone."""
+    return DECLARED == {k: file.get(k) for k in DECLARED} and file["model"].get("type") == "BPE"
 
 
 def byte_letters() -> list[str]:
@@ -55,60 +74,78 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
-class WordIds(_Cached):
+class Generations(dict):
+    """A bounded cache: key -> ``make(key)``.  When full, it becomes the old generation, from which keys in use return."""
+
+    def __init__(self, make, most: int = CACHE_WORDS // 2):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > CACHE_CHARS:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordIds:
     """Ids as little-endian 32-bit bytes, for tokenizers whose pre-tokenizer drops white space.
 
     Pieces of printable ASCII and Latin-1 letters, whose normal form is their lower case, are cut here
-    and given to the library's model word by word, if a probe shows that the tokenizer cuts as ``CUT``
-    does; pieces with other characters, or that may hold a special token, go through the whole library.
+    and given to the library's model word by word, if the tokenizer's file declares the normalizer and
+    pre-tokenizer that ``CUT`` stands for; pieces with other characters, or that hold a special token, go
+    through the whole library, as do whole texts if the file declares anything else.
     """
 
-    PROBE = "L'Été's don't we're 12,5%... aß-Öø;x_y ÿ~ (NAÏVE) \"quote\" I'll'd 'M'Ve a'lle"
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.cut = re.compile(CUT).findall
         self.letters = dict(enumerate(byte_letters()))
         self.packed = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
-        self.words: dict[str, bytes] = {}
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()) or "(?!)").search
-        probes = self.PROBE.split(" ")
-        self.direct = all(self.word_ids(p) == ids for p, ids in zip(probes, self.library(probes), strict=True))
-
-    def library(self, pieces: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def word_ids(self, piece: str) -> bytes:
-        words = self.cut(piece.lower())
-        if not piece.isascii():
-            words = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
-        out = []
-        for w in words:
-            if (ids := self.words.get(w)) is None:
-                ids = b"".join([self.packed[t.id] for t in self.model.tokenize(w)])
-                if len(w) <= CACHE_CHARS:
-                    if len(self.words) >= CACHE_WORDS:
-                        self.words.clear()
-                    self.words[w] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        if not self.direct:
-            return self.library(pieces)
-        other = [p for p in pieces if not PLAIN.fullmatch(p) or self.special(p)]
-        known = dict(zip(other, self.library(other), strict=True))
-        return [known[p] if p in known else self.word_ids(p) for p in pieces]
+        self.words = Generations(self.word, CACHE_WORDS // 4)
+        self.pieces = Generations(self.piece)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        # no added token hides in a word of letters, nor in one before a full stop or comma
+        self.letters_only = not any(re.search("[A-Za-z][.,]?$|^[.,]", t) for t in added)
+        with open(path, encoding="utf-8") as f:
+            self.direct = declared(json.load(f))
+
+    def library(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+
+    def word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
+
+    def piece(self, piece: str) -> bytes:
+        low, end = piece.lower(), piece[-1:]
+        if piece.isascii() and self.letters_only:
+            # a word of letters, or one before a full stop or comma, needs no pattern
+            if low.isalpha():
+                return self.word(low)
+            if end in ".," and low[:-1].isalpha():
+                return self.words[low[:-1]] + self.words[end]
+        if not PLAIN(piece) or self.special(piece):
+            return self.library(piece) if piece else b""
+        return b"".join(map(self.words.__getitem__, self.cut(low)))
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
+        if not self.direct:
+            return [self.library(t) if t else b"" for t in texts]
         # a space, tab or line end is dropped wherever it stands, and no token or normal form spans it
         split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        values = self.learn(set(chain.from_iterable(split)))
-        return [b"".join(map(values.__getitem__, pieces)) for pieces in split]
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
 
 
 class PieceCounts(_Cached):
@@ -132,8 +169,8 @@ class PieceCounts(_Cached):
     def texts(self, texts: list[str | None]) -> list[int]:
         split = [(t or "").split(" ") for t in texts]
         whole = [not self.separable or "" in pieces or "▁" in (t or "") for t, pieces in zip(texts, split, strict=True)]
-        values = self.learn(set(chain.from_iterable(p for p, w in zip(split, whole, strict=True) if not w)))
-        return [self.encode([t])[0] if w and t else 0 if w else sum(map(values.__getitem__, p)) for t, p, w in zip(texts, split, whole, strict=True)]
+        self.learn(set(chain.from_iterable(p for p, w in zip(split, whole, strict=True) if not w)))
+        return [self.encode([t])[0] if w and t else 0 if w else sum(map(self.__getitem__, p)) for t, p, w in zip(texts, split, whole, strict=True)]
 
 
 class IdCounts(WordIds):
