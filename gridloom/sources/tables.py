@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +25,7 @@ def scan(spark: SparkSession, *paths: str, merge: bool = False) -> DataFrame:
     reader = spark.read.option("mergeSchema", merge)
     try:
         return reader.parquet(*paths)
-    except AnalysisException as e:
+    except PySparkException as e:
         if "NANOS" not in str(e):
             raise
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
@@ -44,8 +44,8 @@ def normalise(df: DataFrame, nanos: Sequence[str] = ("ReadingDate",)) -> DataFra
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.when(~F.isnan(c), c)
         elif f.name in nanos and isinstance(f.dataType, T.LongType):
-            # without a zone from the start: a cast of an instant would depend on the session's
-            c = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(floor(`{f.name}` / 1000) AS DECIMAL(24, 6)) / 1000000)")
+            # without a zone from the start, as a cast of an instant would depend on the session's; in whole numbers, as doubles round
+            c = F.expr(f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST((`{f.name}` - pmod(`{f.name}`, 1000)) div 1000 AS DECIMAL(24, 6)) / 1000000)")
         out.append(c.alias(f.name))
     return df.select(*out)
 

@@ -217,3 +217,84 @@ def test_stream_buckets(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [r.x for r in spark.sql("SELECT * FROM buckets ORDER BY t").collect()] == [3.0, 3.0]
+
+
+def test_wide_imputation_keeps_repeated_and_null_moments(spark):
+    """Readings at one moment, without a moment and equal in all columns are rows of their own."""
+    rows = [(1, 1, 0, 1.0, 1.0, "a"), (1, 1, 0, 4.0, 3.0, "b"), (1, 1, None, 9.0, 7.0, "c"), (1, 1, None, 9.0, 7.0, "c"), (1, 1, 1, 6.0, None, None)]
+    df = spark.createDataFrame(rows, "p long, h long, t int, x double, xDiff double, note string")
+    run = pipelines.impute_households(df, ["x"], keys=K)
+    got = sorted((repr(r.t), r.xOriginal, r.xOldDiff, r.note) for r in run.households.collect())
+    assert got == sorted((repr(t), x, d, note) for _, _, t, x, d, note in rows)
+    assert "reading" not in run.households.columns and run.long.count() == len(rows)
+
+
+def test_thresholds_come_from_the_settings(spark):
+    df = spark.createDataFrame([(1, 1, k, float(k), 50.0 if k == 2 else 1.0) for k in range(4)], "p long, h long, t int, x double, xDiff double")
+    run = pipelines.impute_households(df, ["x"], keys=K, config=EngineConfig(thresholds={"xDiff": (0.0, 10.0)}))
+    assert {r.t for r in run.households.filter("xDiff_is_imputed").collect()} == {2}
+    assert pipelines.impute_households(df, ["x"], keys=K).households.filter("xDiff_is_imputed").count() == 0
+
+
+def test_stored_imputation_warns(spark, tmp_path, caplog):
+    config = EngineConfig(str(tmp_path), str(tmp_path / "agg"))
+    df = spark.createDataFrame([(1, 1, k, float(k), None if k > 1 else 1.0) for k in range(5)], "ProjectIdBSV long, HuisIdBSV long, ReadingDate int, x double, xDiff double")
+    pipelines.write_imputation(pipelines.impute_households(df, ["x"], keys=Keys()), config)
+    assert "60.0" in caplog.text and "household" in caplog.text and "reading_date" in caplog.text
+
+
+def test_rolling_by_days_takes_the_step_from_the_data(spark):
+    df = spark.createDataFrame([(1, T0 + dt.timedelta(hours=6 * k), float(k)) for k in range(12)], "g long, t timestamp_ntz, v double")
+    got = [r.a for r in periods.rolling_days(df, ["g"], "v", 1, ["t"], "a").orderBy("t").collect()]
+    want = [r.a for r in periods.rolling_average(df, ["g"], "v", 4, ["t"], "a").orderBy("t").collect()]
+    assert got == want and got[-1] == 9.5
+    assert [r.a for r in periods.rolling_days(df.limit(1), ["g"], "v", 1, ["t"], "a").collect()] == [0.0]
+    with pytest.raises(ValueError):
+        periods.rolling_average(df, [], "v", 4, ["t"])
+
+
+def test_columns_by_name(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "aDiff int, a_right int, bDiff int, c int")
+    assert tables.select_columns(df, ends="Diff").columns == ["aDiff", "bDiff"]
+    assert tables.select_columns(df, starts="a", without="_right").columns == ["aDiff"]
+    assert tables.select_columns(df, ["c"], contains="right").columns == ["a_right", "c"]
+    assert tables.select_columns(df, without="_right").columns == ["aDiff", "bDiff", "c"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Amsterdam", "Pacific/Auckland"])
+def test_moments_do_not_depend_on_the_zone(spark, tmp_path, zone):
+    """Nanosecond files and buckets keep their wall time in any session zone."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    at = [T0 + dt.timedelta(hours=k, microseconds=k) for k in range(30)]
+    nanos = pa.array([int((x - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1)) * 1000 for x in at], pa.int64()).cast(pa.timestamp("ns"))
+    pq.write_table(pa.table({"ReadingDate": nanos, "x": [1.0] * 29 + [float("nan")]}), f"{tmp_path}/n.parquet", version="2.6", coerce_timestamps=None)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.session.timeZone", "spark.sql.legacy.parquet.nanosAsLong")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = tables.read_table(spark, f"{tmp_path}/n.parquet")
+        assert [r.ReadingDate for r in df.orderBy("ReadingDate").collect()] == at
+        assert df.filter("x is null").count() == 1
+        days = resample.resample(df.withColumn("h", F.lit(1)), {"x": Variable()}, "24h", Keys("h", "h"), ["h"], 1)
+        assert [(r.ReadingDate, r.x) for r in days.orderBy("ReadingDate").collect()] == [(T0, 24.0), (T0 + dt.timedelta(days=1), 5.0)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_plain_reads_leave_the_session_alone(spark, tmp_path):
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_path}/t.parquet")
+    before = spark.conf.get("spark.sql.legacy.parquet.nanosAsLong")
+    tables.read_table(spark, f"{tmp_path}/t.parquet").collect()
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == before
+
+
+def test_core_queries_do_not_need_the_corpus_packages():
+    """Without a package that only the corpus operators need, the core's queries are listed still."""
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['public_tokenizers'] = None; sys.modules['xxhash'] = None; import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and not any(n.startswith('op') for n in q) and q.keys() == e.oracle_sql().keys(); print('ok')"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=__file__.rpartition("/tests/")[0])
+    assert out.stdout.strip() == "ok", out.stderr[-500:]
