@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: hierarchical k-means tree, best-bin-first search by priority queue.
 
-The tree is fitted on a bounded sample; every row is put into a leaf.  A query walks the tree through
-a queue ordered by the bound that each unvisited branch has on its inner product, visiting as many
-leaves as calibration found necessary: visits are widened until the recall against brute force, on a
-sample of queries over the sample of rows, reaches the target.  Scores are exact inner products in
-double precision.
+The tree is fitted on a bounded sample; every row is put into a leaf.  Leaves number about the square root
+of the rows, up to what the sample can tell apart.  A query walks the tree through a queue ordered by the
+bound that each unvisited branch has on its inner product, visiting as many leaves as calibration found
+necessary: visits are widened until the recall against brute force, on queries of the sample over the other
+rows of the sample, reaches the target.  Rows are dealt by groups of neighbouring leaves, queries to the
+groups that hold leaves they visit.  Scores are exact inner products in double precision.
 """
 
 from __future__ import annotations
@@ -22,12 +23,20 @@ from pyspark.sql.functions import pandas_udf
 
 from gridloom.llm.common import materialise
 
-SAMPLE = 8192
-"""The tree is fitted and calibrated on at most so many rows (those with the smallest id hash)."""
-BRANCH, LEAVES, ROUNDS = 8, 64, 8
+SAMPLE, MOST_SAMPLE = 8192, 65_536
+"""The tree is fitted and calibrated on so many rows (those with the smallest id hash): 16 a leaf, within these bounds."""
+BRANCH, ROUNDS = 8, 8
 RECALL, PROBES = 0.97, 256
-CHUNK = 4096
-"""At most about so many rows, and so many queries, of a leaf meet in one task's memory at a time."""
+CHUNK, QUERIES, PARTS = 4096, 256, 16
+"""At most about so many rows, and so many queries, of a group of leaves meet in one task's memory at a time."""
+
+
+def leaf_number(rows: int, branch: int = BRANCH) -> int:
+    """Power of ``branch`` nearest to the square root of the rows, as far as MOST_SAMPLE // 16 leaves."""
+    depth = round(math.log(max(1.0, rows**0.5), branch))
+    while branch**depth > MOST_SAMPLE // 16:
+        depth -= 1
+    return branch**depth
 
 
 @dataclass
@@ -39,7 +48,7 @@ class Node:
 
 
 class Tree:
-    def __init__(self, rows: np.ndarray, branch: int = BRANCH, leaves: int = LEAVES, seed: int = 3):
+    def __init__(self, rows: np.ndarray, branch: int = BRANCH, leaves: int = 64, seed: int = 3):
         self.leaves = 0
         self.rng = np.random.default_rng(seed)
         self.depth = max(0, round(math.log(leaves, branch))) if len(rows) else 0
@@ -101,17 +110,17 @@ def calibrate(tree: Tree, rows: np.ndarray, top: int, target: float = RECALL, pr
     if not len(rows):
         return 1
     leaf = tree.assign(rows)
-    queries = rows[:: max(1, len(rows) // probes)][:probes]
-    scores = queries @ rows.T
-    need = min(top + 1, len(rows))
-    best = np.argpartition(-scores, need - 1, axis=1)[:, :need]
+    probed = np.arange(0, len(rows), max(1, len(rows) // probes))[:probes]
+    need = min(top, len(rows) - 1)
     rank = []
-    for q, near in zip(queries, best, strict=True):
-        place = {x: k for k, x in enumerate(tree.search(q, tree.leaves))}
-        rank += [place[leaf[r]] for r in near]
+    for at in probed:
+        scores = rows @ rows[at]
+        scores[at] = -np.inf  # a query is not its own neighbour
+        place = {x: k for k, x in enumerate(tree.search(rows[at], tree.leaves))}
+        rank += [place[leaf[r]] for r in np.argpartition(-scores, need - 1)[:need]] if need else []
     rank = np.array(rank)
     visits = 1
-    while visits < tree.leaves and (rank < visits).mean() < target:
+    while visits < tree.leaves and len(rank) and (rank < visits).mean() < target:
         visits += 1
     return visits
 
@@ -123,35 +132,45 @@ def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.filter(F.coalesce(fine, F.lit(False))).select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"))
 
 
-def block_top(queries: np.ndarray, rows: np.ndarray, q_ids: np.ndarray, r_ids: np.ndarray, top: int) -> Iterator[tuple[int, int, float]]:
-    """The ``top`` best rows of each query within one block, ties to the smaller id, itself left out."""
-    order = np.argsort(r_ids, kind="stable")
-    rows, r_ids = rows[order], r_ids[order]
-    for a in range(0, len(queries), 256):
-        scores = queries[a : a + 256] @ rows.T
+def block_top(queries: np.ndarray, q_ids: np.ndarray, visited: list[np.ndarray], rows: np.ndarray, r_ids: np.ndarray, leaves: np.ndarray, top: int) -> Iterator[tuple[int, int, float]]:
+    """The ``top`` best rows of each query in the leaves it visits, ties to the smaller id, itself left out."""
+    order = np.lexsort((r_ids, leaves))
+    rows, r_ids, leaves = rows[order], r_ids[order], leaves[order]
+    names, starts = np.unique(leaves, return_index=True)
+    ends = np.append(starts[1:], len(leaves))
+    for a in range(0, len(queries), QUERIES):
+        mine = visited[a : a + QUERIES]
+        asked = {int(x): [] for x in names}
+        for k, own in enumerate(mine):
+            for x in own.tolist():
+                if x in asked:
+                    asked[x].append(k)
+        scores = np.full((len(mine), len(rows)), -np.inf)
+        for x, s, e in zip(names.tolist(), starts.tolist(), ends.tolist(), strict=True):
+            if asked[x]:
+                scores[asked[x], s:e] = queries[a : a + QUERIES][asked[x]] @ rows[s:e].T
         for k, line in enumerate(scores):
-            own = q_ids[a + k]
-            need = min(top + 1, len(line))
+            line[r_ids == q_ids[a + k]] = -np.inf
+            need = min(top, len(line))
             floor = np.partition(line, len(line) - need)[len(line) - need]
-            over, ties = np.flatnonzero(line > floor), np.flatnonzero(line == floor)
-            at = np.concatenate([over, ties[:need]])
-            at = at[r_ids[at] != own]
+            at = np.flatnonzero((line >= floor) & (line > -np.inf))
             for r in at[np.lexsort((r_ids[at], -line[at]))][:top]:
-                yield int(own), int(r_ids[r]), float(queries[a + k] @ rows[r])
+                # of the vectors alone: a product of matrices may round otherwise for other blocks
+                yield int(q_ids[a + k]), int(r_ids[r]), float(queries[a + k] @ rows[r])
 
 
-def nearest_neighbours(rows: DataFrame, modulus: int = 20, top: int = 20, vec_id: str = "vec_id", vector: str = "embedding", recall: float = RECALL, branch: int = BRANCH, leaves: int = LEAVES) -> DataFrame:
+def nearest_neighbours(rows: DataFrame, modulus: int = 20, top: int = 20, vec_id: str = "vec_id", vector: str = "embedding", recall: float = RECALL, branch: int = BRANCH, leaves: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``top`` best candidates found.
 
     Queries are the rows whose id is divisible by ``modulus``.  Vectors that are null, zero or hold null
     or non-finite components take no part, nor do null ids or vectors of another length than the most
     common one of the sample; equal scores go to the smaller id; repeated ids count once.  Fewer
-    candidates than ``top`` are all returned; an empty table gives no rows.
+    candidates than ``top`` are all returned; an empty table gives no rows.  Only the two columns are read.
     """
     spark = rows.sparkSession
-    live = usable(rows, vec_id, vector).groupBy("vec_id").agg(F.min("v").alias("v"))
-    live = materialise(live, "vectors")
-    sample = live.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toPandas()
+    live = materialise(usable(rows, vec_id, vector).groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
+    leaves = leaf_number(live.count(), branch) if leaves is None else leaves
+    sample = live.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(MOST_SAMPLE, max(SAMPLE, 16 * leaves))).toPandas()
     if sample.empty:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = int(sample["v"].map(len).mode().iloc[0])
@@ -165,30 +184,37 @@ def nearest_neighbours(rows: DataFrame, modulus: int = 20, top: int = 20, vec_id
         for batch in vectors:
             yield pd.Series(held.value[0].assign(np.stack(batch.to_list()).astype(np.float64)) if len(batch) else [], dtype="int32")
 
-    @pandas_udf("array<int>")
+    @pandas_udf("array<struct<grp:int,leaves:array<int>>>")
     def visited(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in vectors:
             tree, visits = held.value
-            yield pd.Series([np.array(tree.search(np.asarray(v, dtype=np.float64), visits), dtype=np.int32) for v in batch])
+            out = []
+            for v in batch:
+                found = np.sort(np.array(tree.search(np.asarray(v, dtype=np.float64), visits), dtype=np.int32))
+                cuts = np.flatnonzero(np.diff(found // branch)) + 1
+                out.append([{"grp": int(x[0] // branch), "leaves": x.tolist()} for x in np.split(found, cuts)])
+            yield pd.Series(out)
 
     live = live.filter(F.size("v") == width)
-    placed = materialise(live.withColumn("leaf", leaf_of("v")), "leaves")
-    asked = materialise(live.filter(F.col("vec_id") % modulus == 0).select("vec_id", "v", F.explode(visited("v")).alias("leaf")), "asked")
-    # sizes of at most ``leaves`` leaves: they tell into how many chunks rows and queries of each are cut
-    r_n, q_n = ({r[0]: r[1] for r in df.groupBy("leaf").count().collect()} for df in (placed, asked))
-    chunks = [(leaf, -(-r_n.get(leaf, 0) // CHUNK) or 1, -(-q_n.get(leaf, 0) // CHUNK) or 1) for leaf in range(tree.leaves)]
-    cut = F.broadcast(spark.createDataFrame(chunks, "leaf int, r_chunks int, q_chunks int"))
-    r_side = placed.join(cut, "leaf").select("leaf", F.pmod(F.xxhash64("vec_id"), "r_chunks").cast("int").alias("rc"), F.explode(F.sequence(F.lit(0), F.col("q_chunks") - 1)).alias("qc"), "vec_id", "v")
-    q_side = asked.join(cut, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("r_chunks") - 1)).alias("rc"), F.pmod(F.xxhash64("vec_id"), "q_chunks").cast("int").alias("qc"), "vec_id", "v")
+    placed = materialise(live.withColumn("leaf", leaf_of("v")).withColumn("grp", F.floor(F.col("leaf") / branch).cast("int")), "leaves")
+    asked = materialise(live.filter(F.col("vec_id") % modulus == 0).select("vec_id", "v", F.inline(visited("v"))), "asked")
+    # sizes of the groups of leaves, of which there are MOST_SAMPLE // 16 at most: into how many chunks their rows and queries are cut
+    r_n, q_n = ({r[0]: r[1] for r in df.groupBy("grp").count().collect()} for df in (placed, asked))
+    chunks = [(g, -(-r_n[g] // CHUNK), -(-q_n.get(g, 0) // CHUNK) or 1) for g in sorted(r_n)]
+    cut = F.broadcast(spark.createDataFrame(chunks, "grp int, r_chunks int, q_chunks int"))
+    r_side = placed.join(cut, "grp").select("grp", F.pmod(F.xxhash64("vec_id"), "r_chunks").cast("int").alias("rc"), F.explode(F.sequence(F.lit(0), F.col("q_chunks") - 1)).alias("qc"), "vec_id", "v", "leaf")
+    q_side = asked.join(cut, "grp").select("grp", F.explode(F.sequence(F.lit(0), F.col("r_chunks") - 1)).alias("rc"), F.pmod(F.xxhash64("vec_id"), "q_chunks").cast("int").alias("qc"), "vec_id", "v", "leaves")
 
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        got = block_top(np.stack(q["v"].to_list()), np.stack(r["v"].to_list()), q["vec_id"].to_numpy(), r["vec_id"].to_numpy(), top)
+        got = block_top(np.stack(q["v"].to_list()), q["vec_id"].to_numpy(), q["leaves"].to_list(), np.stack(r["v"].to_list()), r["vec_id"].to_numpy(), r["leaf"].to_numpy(), top)
         return pd.DataFrame(list(got), columns=["query_id", "vec_id", "score"])
 
-    keys = ["leaf", "rc", "qc"]
+    keys = ["grp", "rc", "qc"]
     near = q_side.groupBy(*keys).cogroup(r_side.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    # a query's candidates number top times its blocks; the best are kept as one sorted array
-    best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i")))), 1, top).alias("best"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i"))))
+    # the best of each query in a few parts, then over the parts: no buffer holds all its candidates
+    part = near.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(PARTS)))
+    best = part.groupBy("query_id", "part").agg(F.slice(order, 1, top).alias("best")).groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, top).alias("best"))
     return best.select("query_id", F.posexplode("best")).select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("col.i").alias("vec_id"), (-F.col("col.s")).alias("score"))
