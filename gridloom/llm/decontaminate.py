@@ -10,9 +10,11 @@ of the weighted shingles, computed exactly, decides.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import product
 
 import numpy as np
@@ -83,6 +85,12 @@ class Blocks:
         return {k for k in found if (self.prints[k] ^ p).bit_count() <= self.radius}
 
 
+def between(starts: list[int], size: int) -> Iterator[int]:
+    """The starts, and all that lie between two of them less than ``size`` apart: insertions shift a copy's parts."""
+    for a, b in zip(starts, [*starts[1:], starts[-1] + size], strict=True):
+        yield from range(a, b) if b - a < size else (a,)
+
+
 @dataclass
 class Index:
     """A benchmark's items, ready for matching."""
@@ -110,14 +118,13 @@ class Index:
 
     def matches(self, words: list[str]) -> dict[int, tuple[float, int, int]]:
         """Item number -> best similarity, window start and length, of items that reach the bound."""
-        windows: set[tuple[int, int]] = set()
+        starts: dict[int, set[int]] = {}
         for size in {SHINGLE, *self.short}:
             for at, w in enumerate(words):
                 if w in self.first and (found := self.anchors.get(tuple(words[at : at + size]))):
                     for k, inside in found:
-                        n = len(self.words[k])
-                        start = max(0, min(at - inside, len(words) - n))
-                        windows.add((start, n))
+                        starts.setdefault(k, set()).add(max(0, min(at - inside, len(words) - len(self.words[k]))))
+        windows = {(start, len(self.words[k])) for k, own in starts.items() for start in between(sorted(own), len(self.words[k]))}
         best: dict[int, tuple[float, int, int]] = {}
         for start, n in sorted(windows):
             counts = Counter(shingles(words[start : start + n]))
@@ -139,13 +146,26 @@ def load_index(spark: SparkSession, benchmark: DataFrame) -> Index:
     return Index([i for i, _ in rows], [w for _, w in rows])
 
 
+@lru_cache(maxsize=1)
+def _kept(name: str) -> list[Index]:
+    return []
+
+
+def index_of(name: str, ids: list[int], words: list[list[str]], radius: int) -> Index:
+    """The index of this process: tasks that follow one another in a worker build it once."""
+    kept = _kept(name)
+    if not kept:
+        kept.append(Index(ids, words, radius))
+    return kept[0]
+
+
 def hits_column(spark: SparkSession, index: Index):
     """Column function text -> hits, an array that is empty for clean texts."""
-    held = spark.sparkContext.broadcast((index.ids, index.words, index.radius))
+    held = spark.sparkContext.broadcast((uuid.uuid4().hex, index.ids, index.words, index.radius))
 
     @pandas_udf(HIT)
     def hits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*held.value)
+        index = index_of(*held.value)
         for batch in texts:
             yield pd.Series([[{"item_id": index.ids[k], "similarity": s, "start": a, "words": n} for k, (s, a, n) in sorted(index.matches(words_of(t)).items())] for t in batch])
 
@@ -155,8 +175,9 @@ def hits_column(spark: SparkSession, index: Index):
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start, n_words: one row for each item found in a document.
 
-    start counts words from 0.  Null and empty texts or items match nothing, repeated rows are
-    reported each, empty tables give no rows.  Only doc_id and text are read.
+    start counts words from 0; of windows with equal similarity the first is reported.  Null and empty texts
+    or items match nothing, very long texts are searched whole, repeated rows are reported each, empty
+    tables give no rows.  Only doc_id and text are read, so further columns cannot clash.
     """
     found = hits_column(docs.sparkSession, load_index(docs.sparkSession, benchmark))
     hit = docs.select("doc_id", F.explode(found("text")).alias("hit"))
