@@ -27,8 +27,10 @@ from gridloom.llm.common import scratch_path
 from gridloom.llm.tokens import STEP, word_ids
 
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-FRAME_BYTES = 1 << 18
+FRAME_BYTES, FILE_BYTES = 1 << 18, 1 << 30
+"""A frame ends with the document that reaches the first, a file with the one whose ids reach the second."""
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("null_id", "u1"), ("n", "<u8"), ("frame", "<u4"), ("at", "<u8")])
+ROW = struct.Struct("<qBQIQ")
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -48,12 +50,14 @@ class Writer:
         self.out = self.fs.open_output_stream(self.temporary)
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True).compress
         self.pending: list[bytes] = []
-        self.size = 0
+        self.size = self.ids = self.documents = 0
         self.frames: list[tuple[int, int, int]] = []
-        self.index: list[tuple[int, int, int, int, int]] = []
+        self.index = bytearray()
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.index.append((0 if doc_id is None else doc_id, doc_id is None, len(ids) // 4, len(self.frames), self.size // 4))
+        self.index += ROW.pack(0 if doc_id is None else doc_id, doc_id is None, len(ids) // 4, len(self.frames), self.size // 4)
+        self.documents += 1
+        self.ids += len(ids) // 4
         self.pending.append(ids)
         self.size += len(ids)
         if self.size >= FRAME_BYTES:
@@ -70,14 +74,14 @@ class Writer:
     def close(self) -> int:
         """Ends the file and returns its number of ids."""
         self._end_frame()
-        index = self.compress(np.array(self.index, dtype=INDEX_ROW).tobytes())
+        index = self.compress(bytes(self.index))
         self.out.write(struct.pack("<II", SKIPPABLE_INDEX, len(index) + 4) + index + struct.pack("<I", len(index)))
         entries = b"".join(struct.pack("<III", *f) for f in self.frames)
         footer = struct.pack("<IBI", len(self.frames), 0x80, SEEKABLE)
         self.out.write(struct.pack("<II", SKIPPABLE_TABLE, len(entries) + len(footer)) + entries + footer)
         self.out.close()
         self.fs.move(self.temporary, self.path)
-        return sum(r[2] for r in self.index)
+        return self.ids
 
 
 class Reader:
@@ -133,29 +137,40 @@ class Reader:
             yield self.document(int(k))
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, parts: int | None = None) -> list[tuple[int, str, int, int]]:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, parts: int | None = None, file_bytes: int = FILE_BYTES) -> list[tuple[int, str, int, int]]:
     """Writes all rows in ascending doc_id order; (part, path, documents, ids) of each file.
 
-    Rows are dealt by ranges of doc_id; a task writes one file under a temporary name and moves it
-    into place, so a repeated task replaces it by the same contents.  The list has one row a file.
+    Rows are dealt by ranges of doc_id; a task writes files of about ``file_bytes`` of ids, each under a
+    temporary name, and moves them into place, so a repeated task replaces them by the same contents.  The
+    list has one row a file.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     end = np.array([end_id], dtype="<u4").tobytes()
 
+    schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        path = f"{folder}/part-{part:06d}.tok"
+        part, number = TaskContext.get().partitionId(), 0
         writer, ids = None, word_ids(tokenizer)
+
+        def closed(writer: Writer, path: str) -> pa.RecordBatch:
+            n = writer.close()
+            return pa.RecordBatch.from_pydict({"part": [part], "path": [path], "docs": [writer.documents], "ids": [n]}, schema=schema)
+
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1)
             for k in range(0, len(names), STEP):
-                writer = writer or Writer(path)
                 for name, got in zip(names[k : k + STEP], ids.texts(texts[k : k + STEP].to_pylist()), strict=True):
+                    if writer is None:
+                        path = f"{folder}/part-{part:06d}-{number:04d}.tok"
+                        writer, number = Writer(path), number + 1
                     writer.add(name, got + end)
+                    if writer.ids * 4 >= file_bytes:
+                        yield closed(writer, path)
+                        writer = None
         if writer:
-            n = writer.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "docs": [len(writer.index)], "ids": [n]}, schema=pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())]))
+            yield closed(writer, path)
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     rows = ordered.mapInArrow(write, "part int, path string, docs long, ids long").collect()
@@ -188,8 +203,8 @@ def read_tokens(spark, files: list[tuple[int, str, int, int]]) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2) -> DataFrame:
     """Encodes, writes and reads back every row: doc_id, start, n_tokens, ids_crc32.
 
-    Null texts are empty and hold the end id alone.  Rows with null ids come first, repeated rows
-    follow one another; an empty table writes no file and gives no rows.  Only doc_id and text are
+    Null texts are empty and hold the end id alone; very long texts are whole, in a frame of their own size.
+    Rows with null ids come first, repeated rows and repeated ids follow one another; an empty table writes no file and gives no rows.  Only doc_id and text are
     read, so further columns cannot clash.
     """
     spark = docs.sparkSession
