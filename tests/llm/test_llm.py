@@ -13,7 +13,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from gridloom.llm import ann, decontaminate, graph, html, mixing, near_dedup, quality, sharding, simhash, token_counts, token_file, toxicity
+from gridloom.llm import ann, common, decontaminate, graph, html, mixing, near_dedup, quality, sharding, simhash, token_counts, token_file, tokens, toxicity
 from gridloom.llm.tokens import PieceCounts, WordIds
 
 SF = "/root/testdata/sf0.001"
@@ -345,6 +345,20 @@ def test_decontamination_blocks_hold_the_radius():
         assert blocks.within(p) == {j for j, x in enumerate(prints) if (x ^ p).bit_count() <= decontaminate.RADIUS}
 
 
+def test_decontamination_tries_windows_between_anchors(spark):
+    """Words inserted into a copy shift its parts; the best window may begin between the two alignments."""
+    rnd = random.Random(7)
+    item = [f"w{k}" for k in range(80)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    index = decontaminate.load_index(spark, bench)
+    for _ in range(30):
+        at, m = rnd.randrange(5, 75), rnd.randrange(1, 8)
+        words = ["x"] * 20 + item[:at] + [f"in{k}" for k in range(m)] + item[at:] + ["y"] * 20
+        best = max(decontaminate.similarity(c := Counter(decontaminate.shingles(words[s : s + 80])), index.counts[0], index.all_weights(c) | index.all_weights(index.counts[0])) for s in range(len(words) - 79))
+        got = index.matches(words)
+        assert (best >= 0.8) == (0 in got) and (best < 0.8 or got[0][0] == pytest.approx(best))
+
+
 def test_decontamination_edited_and_awkward(spark, awkward, empty):
     item = [f"w{k}" for k in range(60)]
     edited = list(item)
@@ -395,6 +409,34 @@ def test_shards_are_whole(docs, awkward, empty):
     assert sharding.shard_by_bytes(empty).count() == 0
 
 
+def test_shards_match_brute_force(docs):
+    """Every row's shard and slot: groups in falling size, by digest, filled greedily at the least capacity."""
+    import hashlib
+
+    data = rows(docs, "doc_id", "text")
+    size = Counter()
+    for _, t in data:
+        size[t] += len(t.encode()) + 16
+    order = sorted(size, key=lambda t: (-size[t], hashlib.md5(t.encode()).digest()))
+
+    def fill(capacity):
+        shard, room, where = 0, capacity, {}
+        for t in order:
+            if size[t] > room:
+                shard, room = shard + 1, capacity
+            where[t], room = shard, room - size[t]
+        return where, shard
+
+    low, high = max(size.values()), sum(size.values())
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (low, mid) if fill(mid)[1] < 7 else (mid + 1, high)
+    where = fill(low)[0]
+    got = sharding.shard_by_bytes(docs, 7).collect()
+    assert {r.doc_id: r.shard for r in got} == {i: where[t] for i, t in data}
+    assert {r.law for r in got} == {"bytes"} and all(r.grown_shard is None for r in got)
+
+
 # mixing
 
 
@@ -409,7 +451,9 @@ def test_exponent_meets_its_target():
 
 def test_mixture_meets_budgets(spark, docs):
     text = dict(rows(docs, "doc_id", "text"))
-    n = {i: max(1, len(t.split())) for i, t in text.items()}
+    import regex
+
+    n = {i: max(1, len(regex.findall(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+", t))) for i, t in text.items()}
     have = Counter()
     for i, s in rows(docs, "doc_id", "source"):
         have[s] += n[i]
@@ -428,6 +472,53 @@ def test_mixture_meets_budgets(spark, docs):
         assert all(0 <= r.position < 1.0001 for r in got)
 
 
+def test_mixture_matches_brute_force(spark, monkeypatch):
+    """Every emission, from the definition: permuted blocks epoch by epoch, walked to the budget."""
+    monkeypatch.setattr(mixing, "BLOCKS", 4)
+    monkeypatch.setattr(mixing, "BLOCK_TOKENS", 40)
+    rnd = random.Random(2)
+    data = [(k, " ".join(["w"] * rnd.randrange(0, 9)), "en", rnd.choice("aaaaaabbc")) for k in range(120)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    hashed = spark.createDataFrame(data, SCHEMA).select("doc_id", F.xxhash64("doc_id", "text").alias("row"))
+    row = dict(rows(hashed, "doc_id", "row"))
+    n = {k: max(1, len(t.split())) for k, t, _, _ in data}
+    have = Counter()
+    for k, _, _, s in data:
+        have[s] += n[k]
+    plan = mixing.plan(dict(have), 3.0, None, None)
+    h = lambda *xs: spark.range(1).select(F.xxhash64(*[F.lit(x) if not isinstance(x, str) else F.lit(x) for x in xs])).first()[0]
+    blocks = {s: mixing.block_number(have[s]) for s in have}
+    at = {r.doc_id: r.h for r in hashed.select("doc_id", F.xxhash64("row", F.lit(0)).alias("h")).collect()}
+    want = set()
+    for s in have:
+        for epoch in range(-(-plan.budgets[s] // have[s])):
+            order = sorted(range(blocks[s]), key=lambda b: (h(s, epoch, b, 0), b))
+            place = epoch * have[s]
+            for b in order:
+                own = [k for k, _, _, x in data if x == s and at[k] % blocks[s] == b]
+                size = sum(n[k] for k in own)
+                if place + size > plan.budgets[s]:
+                    mixed = {r.k: r.h for r in spark.createDataFrame([(k, row[k], epoch) for k in own] or [(-1, 0, 0)], "k long, row long, epoch int").select("k", F.xxhash64("row", "epoch", F.lit(0)).alias("h")).collect()}
+                    here = place
+                    for k in sorted(own, key=lambda k: (mixed[k], row[k])):
+                        if here < plan.budgets[s]:
+                            want.add((k, epoch))
+                        here += n[k]
+                elif place < plan.budgets[s]:
+                    want |= {(k, epoch) for k in own}
+                place += size
+    got = [(r.doc_id, r.epoch) for r in mixing.mixture_table(docs, 3.0).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert Counter(r.doc_id for r in mixing.mix(docs, 3.0).collect()) == Counter(k for k, _ in want)
+
+
+def test_counts_of_tokens_may_be_given(spark):
+    data = [(1, "a  b, c\n", 7), (2, None, None), (3, "", 0)]
+    docs = spark.createDataFrame([(i, t, "s", n) for i, t, n in data], "doc_id long, text string, source string, tokens int")
+    assert [r.n for r in docs.select(mixing.token_count(F.col("text")).alias("n")).collect()] == [4, 1, 1]
+    assert mixing.mix(docs, 1.0, tokens="tokens").count() == 3
+
+
 def test_mixing_awkward(awkward, empty):
     assert Counter(r.doc_id for r in mixing.mixture_table(awkward, 1.0).collect()) >= Counter(r[0] for r in AWKWARD)
     out = mixing.mix(awkward, 1.5)
@@ -464,6 +555,25 @@ def test_token_counts_use_the_cache(spark, docs, awkward, empty, tmp_path):
     assert token_counts.token_counts(empty, PIECE_BPE).count() == 0
 
 
+def test_token_counts_are_the_librarys(docs):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE_BPE)
+    want = {i: (len(t.encode()), len(model.encode(t))) for i, t in rows(docs, "doc_id", "text")}
+    got = token_counts.token_counts(docs, PIECE_BPE, limit=200).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in got} == want and all(r.over_limit == (r.n_tokens > 200) for r in got)
+
+
+def test_frequent_keys_are_spread(spark, monkeypatch):
+    """A key that holds most rows is dealt over tasks and joined whole; null keys match nothing."""
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    left = spark.createDataFrame([(k, 1 if k < 500 else k) for k in range(600)] + [(700, None)], "i long, k long")
+    right = spark.createDataFrame([(k, f"n{k}") for k in (1, *range(500, 600))], "k long, name string")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    got = common.spread_join(left, right, counts, "k", F.col("i"))
+    assert sorted(got.columns) == ["i", "k", "name"] and rows(got, "i", "name") == sorted(((k, "n1" if k < 500 else f"n{k}") for k in range(600)), key=repr)
+
+
 def test_token_files_round_trip(spark, docs, awkward, empty, tmp_path):
     from tokenizers import Tokenizer
 
@@ -478,6 +588,8 @@ def test_token_files_round_trip(spark, docs, awkward, empty, tmp_path):
     assert got == want and sum(f[3] for f in files) == start
     stream = b"".join(zstandard.ZstdDecompressor().stream_reader(open(f[1], "rb"), read_across_frames=True).read() for f in files)
     assert len(stream) == 4 * start
+    small = token_file.write_tokens(docs, str(tmp_path / "small"), WORD_BPE, file_bytes=40_000)
+    assert len(small) > len(files) and sorted(tuple(r) for r in token_file.read_tokens(spark, small).collect()) == want
     odd = sorted((r.start, r.doc_id, r.n_tokens) for r in token_file.token_files(awkward, WORD_BPE).collect())
     assert [x[1] for x in odd] == [None, 1, 1, 2, 3, 4, 5] and [x[2] for x in odd if x[1] in (2, 3)] == [1, 1]
     assert token_file.token_files(empty, WORD_BPE).count() == 0
@@ -518,6 +630,26 @@ def test_quality_on_held_out_rows():
     assert (got == (test.quality == 1)).mean() >= 0.95
 
 
+def test_quality_scores_are_those_of_the_bags(monkeypatch):
+    """The cached scores equal the mean over all of a text's features, however small the cache; word order counts."""
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["aa", "bb", "aa", "ccc", "é", "x" * 90, "rare%d" % rnd.randrange(900)]) for _ in range(rnd.randrange(60))) for _ in range(120)]
+    shape = quality.Shape(buckets=1 << 12)
+    weights = quality.train([(t, k % 2) for k, t in enumerate(texts)], shape)
+    want = []
+    for t in texts:
+        ids, n = quality._bag(t, shape, {})
+        want.append(1 / (1 + np.exp(-(weights[ids] @ n) / n.sum())))
+    for most in (quality.CACHE_WORDS, 40):
+        words = quality.Words(weights, shape, most)
+        got = [p for k in range(0, len(texts), 7) for p in quality.score_texts(texts[k : k + 7], words)]
+        assert np.allclose(got, want, atol=1e-6)
+    ordered = [("good text here" if k % 2 else "here text good", k % 2) for k in range(60)]
+    words = quality.Words(quality.train(ordered, shape), shape)
+    good, bad = quality.score_texts(["good text here", "here text good"], words)
+    assert good > 0.9 and bad < 0.1
+
+
 def test_quality_awkward(spark, awkward, empty, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = quality.quality_scores(awkward, labels, sample=50).collect()
@@ -526,50 +658,101 @@ def test_quality_awkward(spark, awkward, empty, docs):
     assert quality.keep(awkward, labels, threshold=0.0).columns == awkward.columns
 
 
-def test_toxicity_on_held_out_rows():
+def toxicity_split(limit=2000):
     train, test = labelled("/root/testdata/sf0.1")
-    model = toxicity.train(list(zip(train.text[:2000], train.toxic[:2000], strict=True)))
-    matcher = toxicity.Matcher(model.words, model.stems)
-    got = np.array([toxicity.score_text(t, matcher, model) for t in test.text]) >= 0.5
-    assert (got == (test.toxic == 1)).mean() >= 0.97
+    return list(zip(train.text[:limit], train.toxic[:limit], strict=True)), test
 
 
-def _edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+def test_toxicity_on_held_out_rows():
+    """Accuracy, and that the automaton keeps it where words are misspelled."""
+    train, test = toxicity_split(4000)
+    model = toxicity.train(train)
+    matcher, y = toxicity.Matcher(model), test.toxic.to_numpy() == 1
+    got = np.array([toxicity.score_text(t, matcher) for t in test.text]) >= 0.5
+    assert got[y].mean() >= 0.93 and got[~y].mean() <= 0.002
+    exact = toxicity.Matcher(model)
+    exact.automaton.match = lambda w: (w, 0) if w in model.lexicon else None
+    score = lambda texts, m: np.array([toxicity.score_text(t, m) for t in texts]) >= 0.5
+    # these documents misspell little that training has not seen; the same ones with a letter of every lexicon word changed: what the automaton is for
+    rnd = random.Random(3)
+
+    def misspelled(m):
+        w = m.group()
+        if w.lower() not in model.lexicon or len(w) < 5:
+            return w
+        at = rnd.randrange(1, len(w))
+        return w[:at] + rnd.choice("bcdfgkpqvxz") + w[at + 1 :]
+
+    changed = [toxicity.WORD.sub(misspelled, t) for t in test.text[y]]
+    assert score(changed, matcher).mean() >= 0.8 and score(changed, exact).mean() <= 0.3
+
+
+def test_quotation_is_learned_and_changes_predictions():
+    """Documents that quote insults are clean, those that use them are toxic; only their context tells them apart."""
+    rnd = random.Random(1)
+    filler = lambda n: [rnd.choice("river stone cloud table paper green window garden".split()) for _ in range(n)]
+    bad = ["scoundrel", "imbecile", "wretched"]
+
+    def doc(quote):
+        word = rnd.choice(bad)
+        return " ".join([*filler(12), *(["he", "reported", f'"{word}"'] if quote else ["you", word]), *filler(12)])
+
+    rows = [(doc(k % 2 == 0) if k % 3 else " ".join(filler(26)), int(k % 2 == 1 and k % 3 > 0)) for k in range(600)]
+    model = toxicity.train(rows)
+    # quoted use is as frequent as abuse here, so no word is 8 times as frequent in toxic documents: state the lexicon
+    model.lexicon, model.spellings = {w: 3.0 for w in bad}, {}
+    matcher = toxicity.Matcher(model)
+    model.quotation = toxicity.learn_quotation(rows, matcher)
+    assert {toxicity.QUOTED, "reported"} <= model.quotation.keys() and "river" not in model.quotation
+    x = np.stack([toxicity.features(t, matcher) for t, _ in rows])
+    y = np.array([y for _, y in rows])
+    assert x[(y == 1), 0].min() > 1 and x[(y == 0), 0].max() < 0.5 and x[:, 4].max() > 1
+    model.weights, model.bias = np.array([4.0, 0, 0, 0, 0]), -4.0
+    score = lambda: np.array([toxicity.score_text(t, matcher) for t, _ in rows]) >= 0.5
+    with_context = score()
+    model.quotation = {}
+    assert (with_context == y).all() and (score() != with_context).sum() > 100
 
 
-def test_automaton_is_edit_distance():
+def _edits(a, b):
+    """Edit distance with swaps of neighbours, no part edited twice."""
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i in range(len(a)):
+        for j in range(len(b)):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] != b[j] == a[i - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
+
+
+@pytest.mark.parametrize("most_states", [3, 50_000])
+def test_automaton_is_edit_distance(most_states):
     rnd = random.Random(8)
-    lexicon = ["".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 7))) for _ in range(30)]
-    trie = toxicity.Trie()
-    for w in lexicon:
-        trie.add(w, False)
-    for _ in range(200):
-        w = "".join(rnd.choice("abcd") for _ in range(rnd.randrange(0, 7)))
-        best = min(_edits(w, x) for x in lexicon)
-        for k in (1, 2):
-            assert toxicity.fuzzy(trie, w, k) == (best if best <= k else None)
+    lexicon = sorted({"".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 12))) for _ in range(40)})
+    automaton = toxicity.Automaton(lexicon, most_states)
+    for k in range(1500):
+        if k % 2:
+            w = list(rnd.choice(lexicon))
+            for _ in range(rnd.randrange(3)):
+                at = rnd.randrange(len(w) + 1)
+                w[at : at + rnd.randrange(2)] = [rnd.choice("abcd")] * rnd.randrange(2)
+            w = "".join(w)
+        else:
+            w = "".join(rnd.choice("abcd") for _ in range(rnd.randrange(0, 12)))
+        near = [(_edits(w, x), x) for x in lexicon if _edits(w, x) <= toxicity.allowed(len(x))]
+        assert automaton.match(w) == ((min(near)[1], min(near)[0]) if near else None), w
 
 
-def test_misspelled_and_quoted_words():
-    m = toxicity.Matcher(["scoundrel"], ["wretch"])
-    assert [m[w] for w in ("scoundrel", "scoundrl", "scundrel", "scoundrels", "wretched", "scound", "clean")] == [1, 3, 3, 3, 2, 0, 0]
-    bare, quoted = toxicity.features("you scoundrel", m), toxicity.features('he called him a "scoundrel"', m)
-    assert bare[0] > 0 and bare[3] == 0 and quoted[0] == 0 and quoted[3] > 0
+def test_misspelled_words():
+    matcher = toxicity.Matcher(toxicity.Model({"scum": 4.0, "idiot": 4.0, "worthless": 4.0, "scoundrel": 4.0}, {"sum": 0.0}))
+    assert [matcher.weight(w) for w in ("scum", "scoundrel", "idoit", "skum", "scm", "w0rthl3ss", "scundrels")] == [4, 4, 2, 2, 2, 1, 1]
+    assert [matcher.weight(w) for w in ("sum", "clean", "wonderful", "scound", "", "x" * 10_000)] == [0] * 6
 
 
-def test_misspelled_stems_swaps_and_short_words():
-    m = toxicity.Matcher(["scum", "idiot", "worthless"], ["wretch"])
-    assert [m[w] for w in ("wrtched", "wretched", "idoit", "w0rthl3ss", "skum", "scm")] == [3, 2, 3, 3, 3, 3]
-    assert [m[w] for w in ("clean", "wonderful", "sum", "word")] == [0, 0, 3, 0]
-    rows = [("vermin verminous verminlike filler", 1)] * 20 + [("verge filler", 0)] * 20
-    words, stems = toxicity.learn_lexicon(rows)
-    assert toxicity.Matcher(words, stems)["vremin"] == 3
+def test_a_hit_weighs_what_training_says():
+    rows = [("vermin here filler", 1)] * 20 + [("vermine there filler", 0)] * 20 + [("only filler", 0)] * 20
+    lexicon, spellings = toxicity.learn_lexicon(rows)
+    assert "vermin" in lexicon and "filler" not in lexicon and spellings["vermine"] < 0.5 * lexicon["vermin"]
 
 
 def test_toxicity_awkward(spark, awkward, empty):
@@ -586,7 +769,7 @@ def test_article_text(spark):
     page = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script></head><body><nav><ul><li>menu</li></ul></nav>
     <article><header>By line</header><h1>Head &amp; tail</h1><p>One <b>bold</b>
     word<br>next<p>Two&nbsp;x<aside>side</aside><div class="comments"><p>comment</p></div><form>f</form></article><footer>foot</footer>"""
-    assert "\n\n".join(b[0] for b in html.parse(page)[0] if b[1]) == "By line\n\nHead & tail\n\nOne bold word next\n\nTwo x"
+    assert "\n\n".join(b[0] for b in html.main_blocks(page)[0]) == "By line\n\nHead & tail\n\nOne bold word next\n\nTwo x"
     data = [(1, "http://A.example/x", page), (2, None, None), (None, "x", ""), (4, "http://a.example/y", "<div>only text</div>"), (4, "http://a.example/y", "<div>only text</div>")]
     pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
     got = rows(html.extract(pages), "page_id", "url", "text", "n_chars")
@@ -608,6 +791,53 @@ def test_template_is_deleted_inside_articles(spark):
     assert {r.page_id: r.text for r in got} == {k: f"Related work {k}\n\nOwn words {k}" for k in range(30)} | {100 + k: "One text" for k in range(30)}
 
 
+def test_articles_keep_what_near_copies_and_a_part_of_the_host_share(spark):
+    """Sentences that recur in articles stay: those of near copies, and those on less than half of a host's pages."""
+    rnd = random.Random(4)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    shared, base = words(12), [words(40) for _ in range(6)]
+    pages, want = [], {}
+    for k in range(60):
+        own = [words(30), shared] if k < 20 else [words(30)]
+        pages.append((k, f"http://h.example/{k}", "<article>" + "".join(f"<p>{x}</p>" for x in own) + "</article>"))
+        want[k] = "\n\n".join(own)
+    for k in range(60, 90):
+        own = [*base[:5], f"{base[5]} edit{k}"]
+        pages.append((k, f"http://near.example/{k}", "<article>" + "".join(f"<p>{x}</p>" for x in own) + "</article>"))
+        want[k] = "\n\n".join(own)
+    got = html.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == want
+
+
+def test_classes_drop_no_article():
+    text = lambda page: "\n\n".join(b[0] for b in html.main_blocks(page)[0])
+    assert text('<div class="with-sidebar"><article><p>Own</p></article><div class="sidebar">links</div></div>') == "Own"
+    assert text('<div class="sidebar"><p>links</p><article><p>Own</p><div class="share-buttons">x</div></article></div>') == "Own"
+    assert text('<article><p class="alert-box">Own</p><div class="comments"><article><p>reader</p></article></div></article>') == "Own"
+    assert text('<div class="content-header-wide"><p>Own</p></div><div class="site-header">x</div><aside><article>teaser</article></aside>') == "Own"
+
+
+def test_repeated_pages_are_no_template(spark):
+    data = [(k, "http://h.example/", "<div><p>Same words</p><p>and more</p></div>") for k in range(8)]
+    assert {r.text for r in html.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()} == {"Same words\n\nand more"}
+
+
+def test_extraction_matches_brute_force(spark):
+    """The test pages hold their main text in the blocks of one article; plain patterns find it too."""
+    import html as entities
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
+        inner = re.sub(r"<(nav|aside|footer|form|script|style)\b.*?</\1>|<div class=\"ad\">.*?</div>|<!--.*?-->", "<p>", inner, flags=re.S)
+        parts = re.split(r"</?(?:p|h[1-6]|ul|ol|li|div|section|blockquote|pre|table|tr|td|th)\b[^>]*>", inner)
+        clean = [" ".join(re.split(r"\s+", entities.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", x))))).strip() for x in parts]
+        want[r.page_id] = "\n\n".join(x for x in clean if x)
+    got = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("pages", [400, 401, 1000])
 def test_template_does_not_depend_on_the_size_of_its_host(spark, pages):
     page = lambda k: f"<div>{'<div>Section menu</div>' if k < 20 else ''}<p>Own words {k}</p></div>"
@@ -638,6 +868,42 @@ def test_neighbours_recall_and_ties(spark):
     few = ann.nearest_neighbours(spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>"))
     assert rows(few, "query_id", "rank", "vec_id", "score") == [(0, 1, 1, 0.0)]
     assert ann.nearest_neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    odd = spark.createDataFrame([(None, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.5, 0.0]), (20, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    assert rows(ann.nearest_neighbours(odd), "query_id", "rank", "vec_id", "score") == [(0, 1, 1, 0.5), (0, 2, 20, 0.0), (20, 1, 0, 0.0), (20, 2, 1, 0.0)]
+
+
+def test_neighbours_recall_on_the_test_vectors(spark):
+    """Recall against brute force over a whole table, by the production parameters; every score is the exact product."""
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    data = table.toPandas()
+    x, ids = np.stack(data.embedding.to_list()).astype(float), data.vec_id.to_numpy()
+    got = ann.nearest_neighbours(table).toPandas()
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        s = np.array([x[q] @ y for y in x])
+        s[q] = -np.inf
+        best = set(ids[np.lexsort((ids, -s))[:20]].tolist())
+        mine = got[got.query_id == ids[q]]
+        hits, total = hits + len(best & set(mine.vec_id)), total + len(best)
+        where = np.searchsorted(ids, mine.vec_id) if (np.diff(ids) > 0).all() else [int(np.flatnonzero(ids == i)[0]) for i in mine.vec_id]
+        assert np.allclose(mine.score, s[where], rtol=1e-12)
+    assert total and hits / total >= 0.95
+
+
+def test_calibration_leaves_the_query_out():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 8)) * 10
+    x = np.concatenate([c + rng.normal(size=(50, 8)) for c in centres])
+    tree = ann.Tree(x, 8, 64)
+    leaf, visits = tree.assign(x), ann.calibrate(tree, x, 20, 0.97)
+    found = total = 0
+    for k in range(0, len(x), 7):
+        s = x @ x[k]
+        s[k] = -np.inf
+        seen = set(tree.search(x[k], visits))
+        found, total = found + sum(leaf[r] in seen for r in np.argsort(-s)[:20]), total + 20
+    assert found / total >= 0.93 and visits < tree.leaves / 2
+    assert ann.leaf_number(1) == 1 and ann.leaf_number(50_000) == 512 and ann.leaf_number(10**12) <= ann.MOST_SAMPLE // 16
 
 
 # pipeline
@@ -651,9 +917,43 @@ def test_pipeline_runs_and_returns_tokens(spark):
     assert out and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
 
 
+@pytest.mark.parametrize("empty_table", [False, True])
+def test_pipeline_on_awkward_tables(spark, awkward, tmp_path, empty_table):
+    """Nulls in every column, empty, long and repeated texts, clashing names; and no documents at all."""
+    import corpus_pipeline
+
+    docs = awkward.withColumn("n_chars", F.length("text").cast("long"))
+    (docs.limit(0) if empty_table else docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, 1, 1), (3, None, None), (4, 1, 0), (5, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "nothing of this is in any document here"), (2, None), (None, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        out = f(spark, stage, str(tmp_path))
+        assert out.columns == docs.columns
+    kept = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert not kept if empty_table else {r.doc_id for r in kept} >= {1, 2, 4}
+
+
 def test_words_cut_here_get_the_librarys_ids():
     ids = WordIds(WORD_BPE)
     assert ids.direct
     pieces = ["", "don't", "I'LL'd", "a--b12,5%", "ÉTÉ", "aß-Öø;x_y", "x×y÷", "<|endoftext|>a", "<|ENDOFTEXT|>", "ǅ", "İ", "ﬁ", "e\u0301", "日本語", "a\x0bb", "\x1c", "ª²", "z" * 500]
-    assert ids.encode(pieces) == ids.library(pieces)
-    assert ids.texts([" ".join(pieces)]) == ids.library([" ".join(pieces)])
+    assert [ids.piece(p) for p in pieces] == [ids.library(p) for p in pieces]
+    assert ids.texts([" ".join(pieces)]) == [ids.library(" ".join(pieces))]
+    rnd = random.Random(12)
+    alphabet = "abzABZ019 .,;:'!\"-_<|>\n\t\r\x0b\x1c\x85\xa0éÉßÿ×÷ªµ²Ǆİﬁ\u0301\u200b日😀" + "'s'll"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(40))) for _ in range(5000)]
+    want = [ids.library(t) for t in texts]
+    assert ids.texts(texts) == want
+    ids.direct = False
+    assert ids.texts(texts[:200]) == want[:200]
+
+
+def test_bounded_caches_change_nothing(monkeypatch, docs):
+    texts = [r.text for r in docs.select("text").collect()]
+    whole = WordIds(WORD_BPE).texts(texts), PieceCounts(PIECE_BPE).texts(texts)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
+    small = WordIds(WORD_BPE)
+    small.pieces.most, small.words.most = 20, 7
+    assert small.texts(texts) == whole[0] and len(small.pieces) <= 20
+    assert PieceCounts(PIECE_BPE).texts(texts) == whole[1]
