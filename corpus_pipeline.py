@@ -1,4 +1,9 @@
-"""A corpus from raw documents to token files: quality, near-dedup, decontamination, mixing, tokens."""
+"""A corpus from raw documents to token files: quality, near-dedup, decontamination, mixing, tokens.
+
+All stages but the last return the columns of the documents; further columns come along, whatever their
+names.  Rows with null ids or repeated ids are documents like others, empty tables pass through empty, and
+very long texts are read whole.
+"""
 
 from __future__ import annotations
 
@@ -13,27 +18,36 @@ REPETITION_LIMIT = 1.5
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled ones among the documents, accepts."""
+    """Documents that the classifier, trained on the labelled ones among the documents, accepts.
+
+    A null or empty text has the score of the end mark alone; a score at the threshold is accepted.
+    """
     return quality.keep(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: the least id; a null id only where the group has no other.
+
+    Null and empty texts are copies of one another; rows equal in id and text are one document.
+    """
     return near_dedup.dedupe(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in their mixture: each once at least, those of small sources up to the repetition limit."""
+    """Documents in their mixture: each once at least, those of small sources up to the repetition limit.
+
+    A null source is a source of its own; null and empty texts count one token.
+    """
     return mixing.mix(docs, repetition_limit=REPETITION_LIMIT)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the mixture; a row for each document as read back from them."""
+    """Token files of the mixture; a row for each document as read back from them, null texts as the end id alone."""
     return token_file.token_files(docs, TOKENIZER)
 
 
