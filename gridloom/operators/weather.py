@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.periods import mark_coldest, rolling_mean
@@ -17,10 +17,9 @@ def calendar(df: DataFrame) -> DataFrame:
     return df.withColumns({"datetime_column": F.col("date_column").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("HH")), "year": F.year("date_column"), "week_of_year": F.weekofyear("date_column"), "day_of_week": F.weekday("date_column")})
 
 
-def coldest_weeks(weekly: DataFrame, temperature: str, out: str, weeks: int = 2, year: str = "year") -> DataFrame:
-    """Flags the ``weeks`` coldest weeks of each station and year; missing means come last, ties to the earlier week."""
-    w = Window.partitionBy("STN", year).orderBy(F.col(temperature).asc_nulls_last(), "week_of_year")
-    return weekly.withColumn(out, F.row_number().over(w) <= weeks)
+def week_rank(temperature: str, year: str = "year") -> Column:
+    """Rank of an hour's week, from 1, among those of its station and year; missing means come last, ties to the earlier week."""
+    return F.dense_rank().over(Window.partitionBy("STN", year).orderBy(F.col(temperature).asc_nulls_last(), "week_of_year"))
 
 
 def weather_table(hourly: DataFrame, hours: int = HOURS, iso_year: bool = False) -> DataFrame:
@@ -36,8 +35,8 @@ def weather_table(hourly: DataFrame, hours: int = HOURS, iso_year: bool = False)
     df = calendar(df)
     if iso_year:
         df = df.withColumn("year", F.extract(F.lit("YEAROFWEEK"), "date_column"))
-    week = ["STN", "year", "week_of_year"]
-    weekly = df.groupBy(*week).agg(F.avg("Temperatuur").alias("TemperatuurISOWk"), F.avg("Gevoelstemperatuur").alias("GevoelstemperatuurISOWk"), F.round(F.count("date_column") / 24.0).cast("int").alias("days_in_week"))
-    for c in ("Temperatuur", "Gevoelstemperatuur"):
-        weekly = coldest_weeks(weekly, f"{c}ISOWk", f"Koudste2ISOWk{c}")
-    return df.join(weekly, week, "left")
+    # windows within a station share one exchange; no join of the table with its own weeks
+    week, dated = Window.partitionBy("STN", "year", "week_of_year"), F.col("date_column").isNotNull()
+    weekly = {f"{c}ISOWk": F.when(dated, F.avg(c).over(week)) for c in ("Temperatuur", "Gevoelstemperatuur")}
+    df = df.withColumns(weekly | {"days_in_week": F.when(dated, F.round(F.count("date_column").over(week) / 24.0)).cast("int")})
+    return df.withColumns({f"Koudste2ISOWk{c}": F.when(dated, week_rank(f"{c}ISOWk") <= 2) for c in ("Temperatuur", "Gevoelstemperatuur")})

@@ -443,6 +443,23 @@ def weather_rolling(spark, sf):
     return weather.weather_table(_hourly(spark, sf), 24).select("STN", "YYYYMMDD", "HH", F.round("TemperatuurRA", 5).alias("TemperatuurRA"))
 
 
+def _coldest_sql() -> str:
+    """Rolling means of 24 hours, the hours before each station's least mean, and the two coldest ISO weeks, of both temperatures."""
+    both = {"Temperatuur": "t", "Gevoelstemperatuur": "g"}
+    rolled = ", ".join(f"CASE WHEN count(*) OVER w >= 12 THEN avg(\"{c}\") OVER w END AS {x}" for c, x in both.items())
+    ra = f"ra AS (SELECT *, {rolled}, row_number() OVER (PARTITION BY \"STN\" ORDER BY \"YYYYMMDD\", \"HH\") - 1 AS pos, strptime(CAST(\"YYYYMMDD\" AS VARCHAR), '%Y%m%d') AS d FROM hourly WINDOW w AS (PARTITION BY \"STN\" ORDER BY \"YYYYMMDD\", \"HH\" ROWS BETWEEN 23 PRECEDING AND CURRENT ROW))"
+    least = ", ".join(f"m{x} AS (SELECT \"STN\" AS s, pos AS hit FROM ra QUALIFY {x} = min({x}) OVER (PARTITION BY \"STN\"))" for x in both.values())
+    weeks = f"k AS (SELECT \"STN\", year(d) AS y, week(d) AS wk, {', '.join(f'avg(\"{c}\") AS k{x}' for c, x in both.items())} FROM ra GROUP BY 1, 2, 3), r AS (SELECT *, {', '.join(f'row_number() OVER (PARTITION BY \"STN\", y ORDER BY k{x}, wk) <= 2 AS c{x}' for x in both.values())} FROM k)"
+    columns = ", ".join(f"round(ra.{x}, 6) AS \"{c}RA\", EXISTS (SELECT 1 FROM m{x} WHERE s = ra.\"STN\" AND hit >= 24 AND pos >= hit - 24 AND pos < hit) AS \"Koudste2Wk{c}\", round(r.k{x}, 6) AS \"{c}ISOWk\", r.c{x} AS \"Koudste2ISOWk{c}\"" for c, x in both.items())
+    return f"WITH {HOURLY}, {ra}, {least}, {weeks} SELECT ra.\"STN\", ra.\"YYYYMMDD\", ra.\"HH\", {columns} FROM ra JOIN r ON ra.\"STN\" = r.\"STN\" AND year(ra.d) = r.y AND week(ra.d) = r.wk"
+
+
+@query(_coldest_sql())
+def weather_coldest(spark, sf):
+    df = weather.weather_table(_hourly(spark, sf), 24)
+    return df.select("STN", "YYYYMMDD", "HH", *[x for c in ("Temperatuur", "Gevoelstemperatuur") for x in (F.round(f"{c}RA", 6).alias(f"{c}RA"), F.col(f"Koudste2Wk{c}"), F.round(f"{c}ISOWk", 6).alias(f"{c}ISOWk"), F.col(f"Koudste2ISOWk{c}"))])
+
+
 @query(f"WITH {HOURLY} SELECT r.event_id, h.\"Temperatuur\" FROM readings r LEFT JOIN hourly h ON r.project = h.\"STN\" AND CAST(strftime(r.ts, '%Y%m%d') AS INTEGER) = h.\"YYYYMMDD\" AND hour(r.ts) + 1 = h.\"HH\"")
 def weather_join(spark, sf):
     series = _readings(spark, sf).select("event_id", F.col("project").alias("STN"), F.col("ts").alias("ReadingDate"))
