@@ -27,8 +27,8 @@ SAMPLE, MOST_SAMPLE = 8192, 65_536
 """The tree is fitted and calibrated on so many rows (those with the smallest id hash): 16 a leaf, within these bounds."""
 BRANCH, ROUNDS = 8, 8
 RECALL, PROBES = 0.97, 256
-CHUNK, QUERIES, PARTS = 4096, 256, 16
-"""At most about so many rows, and so many queries, of a group of leaves meet in one task's memory at a time."""
+CHUNK, QUERIES, PARTS = 8192, 256, 16
+"""At most about so many rows, and so many queries, of a group of leaves meet in one task's memory; queries scored at once; parts of a merge."""
 
 
 def leaf_number(rows: int, branch: int = BRANCH) -> int:
@@ -39,6 +39,17 @@ def leaf_number(rows: int, branch: int = BRANCH) -> int:
     return branch**depth
 
 
+def leaf_groups(sizes: list[int], most: int = CHUNK) -> list[int]:
+    """Group of each leaf: leaves that follow one another, neighbours in the tree, up to ``most`` rows together."""
+    out, group, held = [], 0, 0
+    for n in sizes:
+        if held and held + n > most:
+            group, held = group + 1, 0
+        out.append(group)
+        held += n
+    return out
+
+
 @dataclass
 class Node:
     children: list[Node] | None = None
@@ -184,6 +195,14 @@ def nearest_neighbours(rows: DataFrame, modulus: int = 20, top: int = 20, vec_id
         for batch in vectors:
             yield pd.Series(held.value[0].assign(np.stack(batch.to_list()).astype(np.float64)) if len(batch) else [], dtype="int32")
 
+    live = live.filter(F.size("v") == width)
+    placed = materialise(live.withColumn("leaf", leaf_of("v")), "leaves")
+    # sizes of leaves, of which there are MOST_SAMPLE // 16 at most, and of the groups made of them
+    counts = {r[0]: r[1] for r in placed.groupBy("leaf").count().collect()}
+    group = leaf_groups([counts.get(k, 0) for k in range(tree.leaves)])
+    grouped = np.array(group, dtype=np.int32)
+    placed = placed.join(F.broadcast(spark.createDataFrame(list(enumerate(group)), "leaf int, grp int")), "leaf")
+
     @pandas_udf("array<struct<grp:int,leaves:array<int>>>")
     def visited(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in vectors:
@@ -191,15 +210,16 @@ def nearest_neighbours(rows: DataFrame, modulus: int = 20, top: int = 20, vec_id
             out = []
             for v in batch:
                 found = np.sort(np.array(tree.search(np.asarray(v, dtype=np.float64), visits), dtype=np.int32))
-                cuts = np.flatnonzero(np.diff(found // branch)) + 1
-                out.append([{"grp": int(x[0] // branch), "leaves": x.tolist()} for x in np.split(found, cuts)])
+                cuts = np.flatnonzero(np.diff(grouped[found])) + 1
+                out.append([{"grp": int(grouped[x[0]]), "leaves": x.tolist()} for x in np.split(found, cuts)])
             yield pd.Series(out)
 
-    live = live.filter(F.size("v") == width)
-    placed = materialise(live.withColumn("leaf", leaf_of("v")).withColumn("grp", F.floor(F.col("leaf") / branch).cast("int")), "leaves")
     asked = materialise(live.filter(F.col("vec_id") % modulus == 0).select("vec_id", "v", F.inline(visited("v"))), "asked")
-    # sizes of the groups of leaves, of which there are MOST_SAMPLE // 16 at most: into how many chunks their rows and queries are cut
-    r_n, q_n = ({r[0]: r[1] for r in df.groupBy("grp").count().collect()} for df in (placed, asked))
+    # into how many chunks the rows and queries of each group are cut
+    r_n: dict[int, int] = {}
+    for leaf, n in counts.items():
+        r_n[group[leaf]] = r_n.get(group[leaf], 0) + n
+    q_n = {r[0]: r[1] for r in asked.groupBy("grp").count().collect()}
     chunks = [(g, -(-r_n[g] // CHUNK), -(-q_n.get(g, 0) // CHUNK) or 1) for g in sorted(r_n)]
     cut = F.broadcast(spark.createDataFrame(chunks, "grp int, r_chunks int, q_chunks int"))
     r_side = placed.join(cut, "grp").select("grp", F.pmod(F.xxhash64("vec_id"), "r_chunks").cast("int").alias("rc"), F.explode(F.sequence(F.lit(0), F.col("q_chunks") - 1)).alias("qc"), "vec_id", "v", "leaf")
