@@ -903,6 +903,7 @@ def test_calibration_leaves_the_query_out():
         seen = set(tree.search(x[k], visits))
         found, total = found + sum(leaf[r] in seen for r in np.argsort(-s)[:20]), total + 20
     assert found / total >= 0.93 and visits < tree.leaves / 2
+    assert ann.leaf_groups([5, 0, 3, 9, 2, 20, 1], 10) == [0, 0, 0, 1, 2, 3, 4] and ann.leaf_groups([]) == []
     assert ann.leaf_number(1) == 1 and ann.leaf_number(50_000) == 512 and ann.leaf_number(10**12) <= ann.MOST_SAMPLE // 16
 
 
