@@ -118,6 +118,11 @@ def profile(df: DataFrame) -> DataFrame:
     return df.agg(*agg).select(F.inline(each))
 
 
+def preview(df: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+    """The first n rows, by ``order`` if given, else any."""
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def sample_rows(df: DataFrame, keys: Sequence[str], n: int = 100, seed: int = 42) -> DataFrame:
     """n rows by the hash of their keys: the same ones however the table is laid out."""
     return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)

@@ -253,6 +253,11 @@ def test_rolling_by_days_takes_the_step_from_the_data(spark):
         periods.rolling_average(df, [], "v", 4, ["t"])
 
 
+def test_preview(spark):
+    df = spark.range(9)
+    assert [r.id for r in tables.preview(df, 3, ["id"]).collect()] == [0, 1, 2] and tables.preview(df, 20).count() == 9
+
+
 def test_columns_by_name(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "aDiff int, a_right int, bDiff int, c int")
     assert tables.select_columns(df, ends="Diff").columns == ["aDiff", "bDiff"]
