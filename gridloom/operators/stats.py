@@ -12,6 +12,11 @@ from gridloom.config import Keys
 WARN_PERCENT = 40
 
 
+def share(part: Column, whole: Column) -> Column:
+    """100 * part / whole of counts, rounded once: a quotient times 100 makes 7 of 25 more than 28 %."""
+    return F.lit(100.0) * part / whole
+
+
 def method_mask(methods: Column) -> Column:
     """OR of 1 << (m - 1) over the methods from 1 to 32; larger ones do not fit a shift and are left out."""
     fits = F.filter(methods, lambda m: (m > 0) & (m <= 32))
@@ -36,7 +41,7 @@ def gap_stats(long: DataFrame, keys: Keys = Keys()) -> DataFrame:
 
 def house_summary(stats: DataFrame) -> DataFrame:
     """Gap statistics with the share of imputed rows; total_records are the household's rows."""
-    return stats.drop("deviation").withColumn("percentage_imputed", F.col("imputed") / F.col("total_records") * 100)
+    return stats.drop("deviation").withColumn("percentage_imputed", share(F.col("imputed"), F.col("total_records")))
 
 
 def project_summary(stats: DataFrame, keys: Keys = Keys()) -> DataFrame:
@@ -51,7 +56,7 @@ def project_summary(stats: DataFrame, keys: Keys = Keys()) -> DataFrame:
             F.sum("imputed_na").alias("imputed_na"),
             F.sum("total_records").alias("total_records"),
         )
-        .withColumn("percentage_imputed", F.col("imputed") / F.col("total_records") * 100)
+        .withColumn("percentage_imputed", share(F.col("imputed"), F.col("total_records")))
     )
 
 
@@ -60,7 +65,7 @@ def reading_date_stats(long: DataFrame, keys: Keys = Keys()) -> DataFrame:
     total = F.count("*")
     counts = long.groupBy(keys.project, keys.time, "column").agg(F.count(F.when(F.col("is_imputed"), 1)).alias("imputed"), F.count(F.when(F.col("diff").isNull(), 1)).alias("na"), total.alias("total_records"))
     counts = counts.withColumn("original", F.col("total_records") - F.col("imputed") - F.col("na"))
-    return counts.withColumns({f"percent_{c}": F.col(c) / F.col("total_records") * 100 for c in ("imputed", "na", "original")})
+    return counts.withColumns({f"percent_{c}": share(F.col(c), F.col("total_records")) for c in ("imputed", "na", "original")})
 
 
 def over_limit(summary: DataFrame, percent: float = WARN_PERCENT) -> DataFrame:

@@ -91,6 +91,19 @@ def test_method_mask_and_summaries(spark, long):
     assert {r.h for r in over} == {1, 2, 3, 4}
 
 
+def test_share_at_a_limit_is_not_over_it(spark):
+    shares = [(n, k) for n in range(1, 201) for k in range(n + 1) if 100 * k % n == 0]
+    df = spark.createDataFrame([(n, k, "xDiff", 0, 0, [], k, k, 0, n, 0.0) for n, k in shares], "p long, h long, column string, bitwise_methods long, method_flags long, methods array<long>, missing long, imputed long, imputed_na long, total_records long, deviation double")
+    house = stats.house_summary(df)
+    assert all(r.percentage_imputed == 100 * r.imputed // r.total_records for r in house.collect())
+    assert all(100 * r.imputed > 28 * r.total_records for r in stats.over_limit(house, 28).collect())
+    project = stats.project_summary(df.withColumn("p", F.col("p") * 1000 + F.col("h")), K)
+    assert all(r.percentage_imputed == 100 * r.imputed // r.total_records for r in project.collect())
+    rows = [(1, 0, "xDiff", k < 7, None if 7 <= k < 14 else 1.0) for k in range(25)]
+    dates = stats.reading_date_stats(spark.createDataFrame(rows, "p long, t int, column string, is_imputed boolean, diff double"), K).first()
+    assert (dates.percent_imputed, dates.percent_na, dates.percent_original) == (28.0, 28.0, 44.0)
+
+
 def test_resample_is_dense_and_needs_full_bins(spark):
     rows = [(1, 1, T0 + dt.timedelta(minutes=5 * k), 1.0 if k != 4 else None) for k in range(6)] + [(1, 1, T0 + dt.timedelta(minutes=60), 1.0)]
     df = spark.createDataFrame(rows, "p long, h long, t timestamp_ntz, x double")

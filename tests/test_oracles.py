@@ -50,3 +50,14 @@ def test_matches_sql(spark, db, name):
     assert len(ours) == len(theirs)
     wrong = [(a, b) for a, b in zip(ours, theirs, strict=True) if not all(map(same, a, b))]
     assert not wrong, wrong[:3]
+
+
+def test_household_at_the_limit_matches_sql(spark, tmp_path):
+    """Households of 7 imputed of 25 readings (28 %, the limit) and of 8 of 26."""
+    path = f"{tmp_path}/events.parquet"
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01' + INTERVAL 1 MINUTE * i AS ts, CASE WHEN i < 100 THEN 1 ELSE 6 END::BIGINT AS user_id, 'view' AS event_type, 1.0 + i % 3 AS value FROM range(4, 128) t(i) WHERE i < 29 OR i > 101) TO '{path}' (FORMAT parquet)").fetchall()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}')").fetchall()
+    want = con.execute(ORACLES["imputed_over_limit"]).fetchall()
+    assert want == [(1, 6)]
+    assert [(r.project, r.house) for r in QUERIES["imputed_over_limit"](spark, str(tmp_path)).collect()] == want
