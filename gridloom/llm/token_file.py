@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import scratch_path
-from gridloom.llm.tokens import STEP, word_ids
+from gridloom.llm.tokens import word_ids
 
+ROWS = 1024
+"""Texts given to the tokenizer together."""
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, FILE_BYTES = 1 << 18, 1 << 30
 """A frame ends with the document that reaches the first, a file with the one whose ids reach the second."""
@@ -160,8 +162,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2,
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1)
-            for k in range(0, len(names), STEP):
-                for name, got in zip(names[k : k + STEP], ids.texts(texts[k : k + STEP].to_pylist()), strict=True):
+            for k in range(0, len(names), ROWS):
+                for name, got in zip(names[k : k + ROWS], ids.texts(texts[k : k + ROWS].to_pylist()), strict=True):
                     if writer is None:
                         path = f"{folder}/part-{part:06d}-{number:04d}.tok"
                         writer, number = Writer(path), number + 1

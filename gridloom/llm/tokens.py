@@ -1,7 +1,7 @@
 """Exact token ids and counts with public tokenizers, by words held in a bounded cache.
 
-Both tokenizers cut a text at white space before they merge, so a text's ids are those of its pieces
-in order; texts for which that does not hold go to the library whole.
+Both tokenizers cut a text at white space, the word tokenizer into words too, before they merge, so a text's
+ids are those of its words or pieces in order; texts for which that does not hold go to the library whole.
 """
 
 from __future__ import annotations
@@ -14,12 +14,16 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHE_WORDS, CACHE_CHARS, STEP = 800_000, 64, 64
+TOGETHER, MARK = 1 << 22, 0xFFFFFFFF
+"""Characters of texts (one text at least) whose words are looked up together; what ends a piece's ids, no id itself."""
 # Fixed values of the word tokenizer: how its pre-tokenizer cuts lower-cased printable ASCII and Latin-1 letters,
 # and what its file declares.
-CUT = "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+"
+CUT = r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-zß-öø-ÿ0-9 \n\t\r]+|\n"
 DECLARED = {
     "truncation": None,
     "padding": None,
@@ -33,7 +37,7 @@ DECLARED = {
     },
     "post_processor": None,
 }
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+UNUSUAL = re.compile(r"[^!-~À-ÖØ-öø-ÿ \n\t\r]").search
 
 
 def file_digest(path: str) -> str:
@@ -97,9 +101,11 @@ class Generations(dict):
 class WordIds:
     """Ids as little-endian 32-bit bytes, for tokenizers whose pre-tokenizer drops white space.
 
-    Pieces of printable ASCII and Latin-1 letters, whose normal form is their lower case, are cut here
-    and given to the library's model word by word, if the tokenizer's file declares the normalizer and
-    pre-tokenizer that ``CUT`` stands for; pieces with other characters, or that hold a special token, go
+    Texts of printable ASCII, Latin-1 letters and spaces, tabs and line ends, whose normal form is their
+    lower case, are cut here and given to the library's model word by word, each piece between spaces once for
+    all texts given together, if the tokenizer's file declares
+    the normalizer and pre-tokenizer that ``CUT`` stands for.  Of texts with other characters, or that hold a
+    special token, the pieces between white space that have neither are cut likewise, and the other pieces go
     through the whole library, as do whole texts if the file declares anything else.
     """
 
@@ -111,12 +117,10 @@ class WordIds:
         self.cut = re.compile(CUT).findall
         self.letters = dict(enumerate(byte_letters()))
         self.packed = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
-        self.words = Generations(self.word, CACHE_WORDS // 4)
-        self.pieces = Generations(self.piece)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.words = Generations(self.word)
+        self.pieces = Generations(self.piece, CACHE_WORDS // 4)
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
-        # no added token hides in a word of letters, nor in one before a full stop or comma
-        self.letters_only = not any(re.search("[A-Za-z][.,]?$|^[.,]", t) for t in added)
         with open(path, encoding="utf-8") as f:
             self.direct = declared(json.load(f))
 
@@ -124,28 +128,60 @@ class WordIds:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def word(self, word: str) -> bytes:
+        if word == "\n":
+            return MARK.to_bytes(4, "little")
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
         return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
+    def by_words(self, text: str) -> str | None:
+        """The lower-cased text; none if a character or a special token, in whatever case, asks for the library."""
+        low = text.lower()
+        return None if UNUSUAL(text) or self.special(low) else low
+
     def piece(self, piece: str) -> bytes:
-        low, end = piece.lower(), piece[-1:]
-        if piece.isascii() and self.letters_only:
-            # a word of letters, or one before a full stop or comma, needs no pattern
-            if low.isalpha():
-                return self.word(low)
-            if end in ".," and low[:-1].isalpha():
-                return self.words[low[:-1]] + self.words[end]
-        if not PLAIN(piece) or self.special(piece):
-            return self.library(piece) if piece else b""
-        return b"".join(map(self.words.__getitem__, self.cut(low)))
+        low = self.by_words(piece)
+        return self.library(piece) if low is None else b"".join(map(self.words.__getitem__, self.cut(low)))
+
+    def together(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts from :meth:`by_words` with spaces only: each distinct piece among them is cut once."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        found = split.values.dictionary_encode()
+        once = pa.LargeListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int64()), found.dictionary)
+        words = self.cut(pc.binary_join(once, pa.scalar("\n", pa.large_string()))[0].as_py() + "\n")
+        ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
+        ends = np.flatnonzero(ids == MARK)
+        starts = 4 * np.concatenate([[0], ends - np.arange(len(ends))]).astype(np.int64)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(starts), pa.py_buffer(ids[ids != MARK])])
+        taken = pieces.take(found.indices)
+        edges = np.frombuffer(taken.buffers()[1], dtype=np.int64)[np.asarray(split.offsets)].tolist()
+        raw = memoryview(taken.buffers()[2] or b"")
+        return [raw[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         if not self.direct:
             return [self.library(t) if t else b"" for t in texts]
-        # a space, tab or line end is dropped wherever it stands, and no token or normal form spans it
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
+        out, held, at, size = [b""] * len(texts), [], [], 0
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            low = self.by_words(text)
+            # a space, tab or line end is dropped wherever it stands, and no token or normal form spans it
+            spaced = (text if low is None else low).replace("\n", " ").replace("\t", " ").replace("\r", " ")
+            if low is None:
+                out[k] = b"".join(map(self.pieces.__getitem__, spaced.split(" ")))
+                continue
+            held.append(spaced)
+            at.append(k)
+            size += len(spaced)
+            if size >= TOGETHER:
+                for j, ids in zip(at, self.together(held), strict=True):
+                    out[j] = ids
+                held, at, size = [], [], 0
+        if held:
+            for j, ids in zip(at, self.together(held), strict=True):
+                out[j] = ids
+        return out
 
 
 class PieceCounts(_Cached):

@@ -950,6 +950,24 @@ def test_words_cut_here_get_the_librarys_ids():
     assert ids.texts(texts[:200]) == want[:200]
 
 
+def test_a_word_is_merged_once_whatever_its_case_and_marks(monkeypatch):
+    merged = []
+
+    class Counting(WordIds):
+        def word(self, word):
+            merged.append(word)
+            return super().word(word)
+
+    texts = ["The the\tTHE, (the) the.", None, "", "the\n\n THE!", " ", "Éa éa, ÉA; 77"] * 3
+    ids = Counting(WORD_BPE)
+    want = [ids.library(t) if t else b"" for t in texts]
+    assert ids.texts(texts) == want
+    assert all(merged.count(w) == 1 for w in ["the", "éa", "7", ","])
+    for most in (1, 25, 40):
+        monkeypatch.setattr(tokens, "TOGETHER", most)
+        assert ids.texts(texts) == want and ids.texts([]) == [] and ids.texts([None, " \n "]) == [b"", b""]
+
+
 def test_bounded_caches_change_nothing(monkeypatch, docs):
     texts = [r.text for r in docs.select("text").collect()]
     whole = WordIds(WORD_BPE).texts(texts), PieceCounts(PIECE_BPE).texts(texts)
